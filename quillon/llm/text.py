@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +35,8 @@ def count_chars(text: Column, chars: str) -> Column:
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all else as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, even where body names it inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
