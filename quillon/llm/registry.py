@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillon.llm import decontaminate, mixing, quality_rules
+from quillon.llm import decontaminate, licenses, mixing, pii, quality_rules
 from quillon.llm.text import table
 
 
@@ -22,8 +22,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.label(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_find_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mix_sources, op4_decontaminate, op7_quality_rules)}
+    return {f.__name__: f for f in (op2_mix_sources, op4_decontaminate, op7_quality_rules, op9_license_scan, op10_find_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
