@@ -115,7 +115,7 @@ KNOWN = {
 #: Every known canonical form has one of these; a text without any can't be one and is not brought to its form.
 MARKS = r"licen|permi"
 
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\b(?![ \t]+(?:holder|owner|notice|law))|©|\(c\))[^\n]*$"
+COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\b(?!\s+(?:holder|owner|notice|law))|©|\(c\))[^\n]*$"
 ALL_RIGHTS = r"all rights reserved\.?"
 PUNCTUATION = r"[^\p{L}\p{N}]+"
 

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillon.llm import decontaminate, licenses, mixing, pii, quality_rules
+from quillon.llm import decontaminate, html_text, licenses, mixing, pii, quality_model, quality_rules
 from quillon.llm.text import table
 
 
+def op1_extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -18,6 +22,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.label(table(spark, sf_dir, "documents"))
 
@@ -31,7 +39,7 @@ def op10_find_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mix_sources, op4_decontaminate, op7_quality_rules, op9_license_scan, op10_find_pii)}
+    return {f.__name__: f for f in (op1_extract_html, op2_mix_sources, op4_decontaminate, op6_quality_model, op7_quality_rules, op9_license_scan, op10_find_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
