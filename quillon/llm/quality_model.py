@@ -178,25 +178,24 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, thre
     kinds, all scores are the smoothed share of label 1. Rows with a null doc_id
     are scored and not held out. Repeated rows give repeated rows.
     """
-    return _scored(materialise(statistics(docs)), labels, train_rows, threshold).select("doc_id", "held_out", "score", "predicted")
+    scored = statistics(docs.select("doc_id", "text")).withColumn("score", learn(docs, labels, train_rows).score())
+    return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def _scored(stats: DataFrame, labels: DataFrame, train_rows: int, threshold: float) -> DataFrame:
+def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
+    """The model from the labelled rows of docs; statistics are taken of these rows only."""
     known = labels.select("doc_id", F.col("quality").cast("int").alias("_y")).where("doc_id is not null and _y is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("_y").alias("_y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
+    known = materialise(known, 1)  # train_rows pairs of numbers at most: small enough to broadcast
+    sample = docs.select("doc_id", "text").join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
     features = feature_columns()
-    once = stats.join(known, "doc_id").dropDuplicates(["doc_id"])
-    rows = once.select(F.col("doc_id"), "_y", *[c.alias(k) for k, c in features.items()]).toPandas().sort_values("doc_id")  # train_rows rows at most
-    model = fit(rows[list(features)].to_numpy(np.float64), (rows["_y"].to_numpy() > 0).astype(np.float64), list(features))
-    scored = stats.withColumns({"score": model.score(), "held_out": F.coalesce(held_out(F.col("doc_id")), F.lit(False))})
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    once = statistics(sample).select("doc_id", *[c.alias(k) for k, c in features.items()]).join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
+    rows = once.toPandas().sort_values("doc_id")  # train_rows rows at most
+    return fit(rows[list(features)].to_numpy(np.float64), (rows["_y"].to_numpy() > 0).astype(np.float64), list(features))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """docs without those that the classifier rejects (score below threshold). Columns are those of docs.
-
-    Rejected texts are few; they go by doc_id, so rows with one doc_id go
-    together if any of them is rejected. Rows with a null doc_id stay.
-    """
-    bad = score(docs, labels, train_rows, threshold).where("predicted = 0 and doc_id is not null").select("doc_id").distinct()
-    return docs.join(materialise(bad), "doc_id", "left_anti").select(*[F.col(c) for c in docs.columns])
+    """docs without those that the classifier rejects (score below threshold). Columns are those of docs; no row is moved."""
+    model = learn(docs, labels, train_rows)
+    rows = statistics(docs.select(F.struct("*").alias("_row"), "text"), "_row")
+    return rows.where(model.score() >= threshold).select("_row.*")

@@ -49,18 +49,18 @@ def _covered(windows: Column) -> Column:
     return let(let(placed, starts), total)
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """docs with the statistics of its texts beside doc_id: a row for a row.
+def statistics(docs: DataFrame, carry: str = "doc_id") -> DataFrame:
+    """The statistics of the texts of docs beside the column carry: a row for a row.
 
     Null counts as the empty text. Words are `[^\\x20\\x09-\\x0D]+`.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select("doc_id", text.alias("_t")).select("doc_id", "_t", words(F.col("_t")).alias("_w"))
+    base = docs.select(carry, text.alias("_t")).select(carry, "_t", words(F.col("_t")).alias("_w"))
     base = base.withColumn("n_words", F.size("_w"))
     base = base.withColumn("_h", F.when(F.col("n_words") > WINDOW, _repeat_positions(F.col("_w"), F.col("n_words"))))
     lines = F.filter(F.split("_t", "\n", -1), lambda x: F.btrim(x, F.lit(SPACE)) != "")
     return base.select(
-        "doc_id",
+        carry,
         F.col("n_words").cast("long").alias("n_words"),
         F.length(F.translate("_t", SPACE, "")).cast("long").alias("word_chars"),
         count_chars(F.col("_t"), "#*$%&|<>").alias("n_symbols"),

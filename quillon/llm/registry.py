@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillon.llm import decontaminate, html_text, licenses, mixing, pii, quality_model, quality_rules
+from quillon.llm import decontaminate, html_text, licenses, mixing, near_dup, pii, quality_model, quality_rules
 from quillon.llm.text import table
 
 
@@ -22,6 +22,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85)
+
+
 def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -39,7 +43,7 @@ def op10_find_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_extract_html, op2_mix_sources, op4_decontaminate, op6_quality_model, op7_quality_rules, op9_license_scan, op10_find_pii)}
+    return {f.__name__: f for f in (op1_extract_html, op2_mix_sources, op4_decontaminate, op5_near_duplicates, op6_quality_model, op7_quality_rules, op9_license_scan, op10_find_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
