@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillon.llm import decontaminate, html_text, licenses, mixing, near_dup, pii, quality_model, quality_rules
+from quillon.llm import decontaminate, html_text, licenses, mixing, near_dup, pii, quality_model, quality_rules, token_files
 from quillon.llm.text import table
 
 
@@ -34,6 +34,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.label(table(spark, sf_dir, "documents"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.tokenise(table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_find_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_extract_html, op2_mix_sources, op4_decontaminate, op5_near_duplicates, op6_quality_model, op7_quality_rules, op9_license_scan, op10_find_pii)}
+    return {f.__name__: f for f in (op1_extract_html, op2_mix_sources, op4_decontaminate, op5_near_duplicates, op6_quality_model, op7_quality_rules, op8_token_files, op9_license_scan, op10_find_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
