@@ -197,5 +197,6 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
 def good_documents(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """docs without those that the classifier rejects (score below threshold). Columns are those of docs; no row is moved."""
     model = learn(docs, labels, train_rows)
-    rows = statistics(docs.select(F.struct("*").alias("_row"), "text"), "_row")
-    return rows.where(model.score() >= threshold).select("_row.*")
+    # A column that is not deterministic keeps the filter above the statistics; below, it would repeat them for every rule.
+    rows = statistics(docs.select(F.struct("*").alias("_row"), "text"), "_row").withColumn("_at", F.monotonically_increasing_id())
+    return rows.where((model.score() >= threshold) & (F.col("_at") >= 0)).select("_row.*")
