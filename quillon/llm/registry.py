@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillon.llm import decontaminate, html_text, licenses, mixing, near_dup, pii, quality_model, quality_rules, token_files
+from quillon.llm import decontaminate, html_text, licenses, line_dedup, mixing, near_dup, pii, quality_model, quality_rules, token_files
 from quillon.llm.text import table
 
 
@@ -18,6 +18,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,7 +51,7 @@ def op10_find_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_extract_html, op2_mix_sources, op4_decontaminate, op5_near_duplicates, op6_quality_model, op7_quality_rules, op8_token_files, op9_license_scan, op10_find_pii)}
+    return {f.__name__: f for f in (op1_extract_html, op2_mix_sources, op3_line_dedup, op4_decontaminate, op5_near_duplicates, op6_quality_model, op7_quality_rules, op8_token_files, op9_license_scan, op10_find_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
