@@ -108,4 +108,4 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, word
 def clean_documents(docs: DataFrame, items: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """docs without those that contain a benchmark item. Rows with a null doc_id stay."""
     bad = materialise(contaminated(docs, items, percent, words).select("doc_id").distinct())
-    return docs.join(bad, "doc_id", "left_anti").select(*[F.col(c) for c in docs.columns])
+    return docs.join(bad, docs["doc_id"] == bad["doc_id"], "left_anti")

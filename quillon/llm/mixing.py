@@ -147,7 +147,7 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     plan = plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "taken")
     plan = plan.select("_id", "_source", "_size", F.floor(F.when(F.col("_size") > 0, F.col("taken") / F.col("_size") + 0.5).otherwise(0)).cast("int").alias("_copies")).where("_copies > 0")
     plan = materialise(plan)
-    sized = docs.withColumn("_words", n_words(F.col("text")))
-    on = sized["doc_id"].eqNullSafe(plan["_id"]) & sized["source"].eqNullSafe(plan["_source"]) & (sized["_words"] == plan["_size"])
+    sized = docs.select(F.struct("*").alias("_row"), n_words(F.col("text")).alias("_words"))
+    on = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & F.col("_row.source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size"))
     repeated = sized.join(plan, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*[F.col(c) for c in docs.columns])
+    return repeated.select("_row.*")
