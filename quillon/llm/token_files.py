@@ -149,14 +149,19 @@ PIECE = re.compile(rf" ?[{_LETTERS}]+(?=[{_MARKS}]*(?:[ \n]|$))|[{_MARKS}]+(?=[
 WHOLE = re.compile(r"[^\S \n]|<\|endoftext\|>")
 
 
+#: By vocabulary file, a worker's tokenizer and the ids of pieces; a worker that is used again finds them warm.
+_LOADED: dict[str, tuple[object, dict[str, bytes]]] = {}
+
+
 class Encoder:
     """ids of texts with the tokenizers library; ids of pieces that come again are kept."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        if path not in _LOADED:
+            from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+            _LOADED[path] = (Tokenizer.from_file(path), {})
+        self.tokenizer, self.known = _LOADED[path]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -173,17 +178,12 @@ class Encoder:
         pieces = [[] if i in set(whole) else PIECE.findall(t) for i, t in enumerate(texts)] if whole else [PIECE.findall(t) for t in texts]
         new = list(set().union(*pieces).difference(self.known))
         fresh = dict(zip(new, self._piece_ids(new), strict=True)) if new else {}
-        if len(self.known) + len(fresh) <= CACHE:
-            self.known.update(fresh)
-            look = self.known.__getitem__
-        else:
-            both = self.known | fresh if len(fresh) > 1000 else None
-            if both is None:
-                known = self.known
-                look = lambda p: known[p] if p in known else fresh[p]
-            else:
-                look = both.__getitem__
+        self.known.update(fresh)
+        look = self.known.__getitem__
         out = [b"".join(map(look, p)) for p in pieces]
+        if len(self.known) > CACHE:  # the newest go, most of which are rare
+            for p in fresh:
+                del self.known[p]
         for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
             out[i] = ids
         return out
