@@ -104,7 +104,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, names: list[str], trees: int = 40, rate: float = 0.3, penalty: float = 5e-4, steps: int = 400) -> Model:
+def fit(x: np.ndarray, y: np.ndarray, names: list[str], trees: int = 24, rate: float = 0.3, penalty: float = 2e-3, steps: int = 400) -> Model:
     """The model for rows x of features with labels y (0 or 1). Without both classes, the smoothed share of label 1 alone."""
     n = len(y)
     share = (y.sum() + 1) / (n + 2)
@@ -139,9 +139,11 @@ def fit(x: np.ndarray, y: np.ndarray, names: list[str], trees: int = 40, rate: f
             seen.add(key)
             columns.append(c)
             kept.append(path)
-    r = np.stack(columns, axis=1).astype(np.float64) if columns else np.zeros((n, 0))
-    mean, scale = r.mean(axis=0), np.maximum(r.std(axis=0), 0.02)
-    z = (r - mean) / scale
+    z = np.stack(columns, axis=1).astype(np.float32) if columns else np.zeros((n, 0), np.float32)
+    mean = z.mean(axis=0, dtype=np.float64)
+    scale = np.maximum(np.sqrt(mean * (1 - mean)), 0.02)
+    z -= mean.astype(np.float32)
+    z /= scale.astype(np.float32)
     # FISTA on the mean logistic loss with an L1 penalty; the bias is free of it.
     w, b, v, vb, t = np.zeros(z.shape[1]), bias, np.zeros(z.shape[1]), bias, 1.0
     vec = np.full(z.shape[1], 1 / np.sqrt(max(1, z.shape[1])))
