@@ -23,6 +23,9 @@ SHARDS = 4096
 #: Blocks over the whole corpus at most. Fewer where that would make them shorter than a word.
 BLOCKS = 2**26
 
+#: Rows of the plan (about 100 bytes each in memory) that are broadcast to the texts at most.
+BROADCAST_ROWS = 1_000_000
+
 
 def source_targets(sources: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: float = 3.0) -> DataFrame:
     """sources: (source, source_size), a row each. Adds idx, weight and target.
@@ -147,6 +150,8 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     plan = plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "taken")
     plan = plan.select("_id", "_source", "_size", F.floor(F.when(F.col("_size") > 0, F.col("taken") / F.col("_size") + 0.5).otherwise(0)).cast("int").alias("_copies")).where("_copies > 0")
     plan = materialise(plan)
+    if plan.count() <= BROADCAST_ROWS:  # then no text is moved; beyond, both sides are dealt by the planner
+        plan = F.broadcast(plan)
     sized = docs.select(F.struct("*").alias("_row"), n_words(F.col("text")).alias("_words"))
     on = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & F.col("_row.source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size"))
     repeated = sized.join(plan, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
