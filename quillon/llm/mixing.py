@@ -22,6 +22,9 @@ from quillon.session import materialise
 SHARDS = 4096
 #: Blocks over the whole corpus at most. Fewer where that would make them shorter than a word.
 BLOCKS = 2**26
+#: Parts that a copy is counted in, and lanes of a source and size class, when copies are made whole.
+UNIT = 2**24
+LANES = 64
 
 #: Rows of the plan (about 100 bytes each in memory) that are broadcast to the texts at most.
 BROADCAST_ROWS = 1_000_000
@@ -141,14 +144,46 @@ def mix(
     return one_each.select("doc_id", "source", F.col("size").cast("long"), F.col("source_size").cast("long"), F.col("target").cast("double"), "taken")
 
 
-def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
-    """The documents of the mix: each row of docs as often as its taken words come to its size, rounded.
+def _whole_copies(plan: DataFrame, seed: int) -> DataFrame:
+    """plan: (_id, _source, _size, _rows, taken). Adds _copies: taken / _size in whole copies.
 
-    Columns are those of docs. Documents without words are taken nowhere.
+    The parts of a copy are added up along an order that spans the source, and a
+    document gets one more where the sum passes a whole number. The order goes by
+    size class, then by seeded lane and hash: what a source is off by is then
+    about one long document. Lanes are summed alone and begin where the lane
+    before them ends, so no window holds a whole source's documents.
     """
-    plan = mix(docs, **options).groupBy("doc_id", "source", "size").agg(F.first("taken").alias("taken"))
-    plan = plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "taken")
-    plan = plan.select("_id", "_source", "_size", F.floor(F.when(F.col("_size") > 0, F.col("taken") / F.col("_size") + 0.5).otherwise(0)).cast("int").alias("_copies")).where("_copies > 0")
+    part = F.when(F.col("_size") > 0, F.floor(F.col("taken") % F.col("_size") * UNIT / F.col("_size"))).otherwise(0).cast("long")
+    parts = plan.withColumns({
+        "_part": part,
+        "_class": F.floor(F.log2(F.greatest(F.lit(1), F.col("_size") * F.col("_rows"))) * 4).cast("int"),
+        "_lane": F.pmod(_hash(seed + 3, "_id", "_size"), F.lit(LANES)).cast("int"),
+    })
+    parts = materialise(parts)
+    before = Window.partitionBy("_source").orderBy("_class", "_lane").rowsBetween(Window.unboundedPreceding, -1)
+    lanes = parts.groupBy("_source", "_class", "_lane").agg(F.sum("_part").alias("_sum"))
+    begin = F.lit(UNIT // 2) + F.coalesce(F.sum("_sum").over(before), F.lit(0))
+    lanes = materialise(lanes.select(F.col("_source").alias("_s"), F.col("_class").alias("_c"), F.col("_lane").alias("_l"), begin.cast("long").alias("_begin")))
+
+    w = Window.partitionBy("_source", "_class", "_lane").orderBy(_hash(seed + 4, "_id", "_size"), "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
+    laid = parts.withColumn("_to", F.sum("_part").over(w))
+    laid = laid.join(lanes, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_class") == F.col("_c")) & (F.col("_lane") == F.col("_l")))
+    to = F.col("_begin") + F.col("_to")
+    more = F.floor(to / UNIT) - F.floor((to - F.col("_part")) / UNIT)
+    whole = F.when(F.col("_size") > 0, F.floor(F.col("taken") / F.col("_size")) + more).otherwise(0)
+    return laid.select("_id", "_source", "_size", whole.cast("int").alias("_copies"))
+
+
+def mixed_documents(docs: DataFrame, seed: int = 17, **options: object) -> DataFrame:
+    """The documents of the mix: each row of docs as often as its taken words come to its size.
+
+    Parts of a copy are rounded so that each source has its words, not each
+    document by itself. Columns are those of docs. Documents without words are
+    taken nowhere.
+    """
+    plan = mix(docs, seed=seed, **options).groupBy("doc_id", "source", "size").agg(F.first("taken").alias("taken"), F.count(F.lit(1)).alias("rows"))
+    plan = plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("rows").alias("_rows"), "taken")
+    plan = _whole_copies(plan, seed).where("_copies > 0")
     plan = materialise(plan)
     if plan.count() <= BROADCAST_ROWS:  # then no text is moved; beyond, both sides are dealt by the planner
         plan = F.broadcast(plan)

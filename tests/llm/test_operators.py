@@ -99,6 +99,17 @@ def test_mix_comes_near_targets(spark):
     assert sorted(rows) == sorted(mixing.mix(spark.read.parquet(f"{SF}/documents.parquet")).collect())
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_mixed_documents_come_near_targets(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    plan = mixing.mix(docs).groupBy("source").agg(F.first("target").alias("target"), F.max("size").alias("longest")).collect()
+    words = collections.Counter()
+    for r in mixing.mixed_documents(docs).select("source", "text").collect():
+        words[r.source] += len(re.findall(W, r.text))
+    for r in plan:
+        assert abs(words[r.source] - r.target) <= r.longest + 0.02 * r.target, r.source
+
+
 def _shingles(text, n, pattern=W, lower=lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t)):
     w = re.findall(pattern, lower(text or ""))
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
