@@ -240,6 +240,21 @@ def test_line_groups(spark):
     assert got == {1: (base + "1\nshort", 1), 2: ("An intro line of five words\nshort", 1), 3: ("other words stand in this line", 1)}
 
 
+def test_lines_with_a_changed_word(spark):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(4, 8))) for _ in range(2000)]
+    rows, pairs = [], 0
+    for n in (12, 16, 20, 30, 50):
+        for _ in range(40):
+            line = list(rng.choice(words, n))
+            other = [*line[:5], str(rng.choice(words)), *line[6:]]
+            if line != other and line_dedup.edit_similarity(" ".join(line), " ".join(other)) >= 0.9:
+                rows += [(len(rows), " ".join(line)), (len(rows) + 1, " ".join(other))]
+                pairs += 1
+    gone = sum(r.n_removed for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert pairs > 150 and 0.97 * pairs <= gone <= pairs
+
+
 def test_queries_are_registered(spark):
     numbers = {int(re.match(r"op(\d+)_", k)[1]) for k in registry.queries()}
     assert numbers == set(range(1, 11))
