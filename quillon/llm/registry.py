@@ -19,7 +19,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_words=1)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

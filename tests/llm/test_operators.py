@@ -255,6 +255,14 @@ def test_lines_with_a_changed_word(spark):
     assert pairs > 150 and 0.97 * pairs <= gone <= pairs
 
 
+def test_query_groups_short_lines_and_scripts_without_spaces(spark, tmp_path):
+    han = "这是一个没有空格的很长的句子用来测试重复的行"
+    rows = [(1, f"Yes\n--\n{han}"), (2, f"yes!\n--\n{han}吗"), (3, "No\nno")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.text for r in registry.queries()["op3_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: f"Yes\n--\n{han}", 2: "--", 3: "No"}
+
+
 def test_queries_are_registered(spark):
     numbers = {int(re.match(r"op(\d+)_", k)[1]) for k in registry.queries()}
     assert numbers == set(range(1, 11))
