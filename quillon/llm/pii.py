@@ -3,7 +3,7 @@
 The base kinds (email, ip, card, phone) stand by their form alone and always
 stay. The method adds kinds whose form is weaker: IBANs, which the mod-97 check
 confirms, and national phone and social security numbers, which need a context
-word close before them.
+word close to them.
 """
 
 from __future__ import annotations
@@ -23,16 +23,31 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # Forms of the added kinds, and the words that speak for them.
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_form() -> str:
+    """A form for each length, so that a match ends where its country's numbers do; any length for countries without one."""
+    known = "|".join(c for names in IBAN_LENGTHS.values() for c in names.split())
+    own = [rf"(?:{'|'.join(names.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, names in IBAN_LENGTHS.items()]
+    other = rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join([*own, other])})(?![A-Za-z0-9])"
+
+
+IBAN = _iban_form()
 LOCAL_PHONE = r"(?<![A-Za-z0-9+.(-])\(?[0-9]{3,5}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9.-])"
 SSN = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
-PHONE_WORDS = r"(?i)(?:phone|tel|telephone|telefon|téléphone|teléfono|call|mobile|fax)[^\p{L}\p{N}]*$"
-SSN_WORDS = r"(?i)(?:ssn|social security(?: number| no)?)[^\p{L}\p{N}]*$"
+PHONE_WORDS = r"(?i)(?<![\p{L}\p{N}])(?:phone|tel|telephone|telefon|téléphone|teléfono|call|mobile|fax)(?![\p{L}\p{N}])"
+SSN_WORDS = r"(?i)(?<![\p{L}\p{N}])(?:ssn|social security)(?![\p{L}\p{N}])"
 
 #: Kinds in the order in which spans with one start are listed.
 KINDS = ("email", "ip", "card", "phone", "iban", "local_phone", "ssn")
 BASE = KINDS[:4]
-#: Characters before a span in which a context word counts.
+#: Characters before and after a span in which a context word counts.
 NEAR = 32
 THRESHOLD = 0.6
 
@@ -75,25 +90,44 @@ def _ip_parts(s: Column) -> Column:
     return F.forall(F.split(s, r"\.", -1), fits)
 
 
-def _located(text: Column, kind: str, form: str, hint: Column, score: Callable[[Column, Column], Column]) -> Column:
+def _located(text: Column, kind: str, form: str, hint: Column, score: Callable[[Column, Column], Column], context: bool = False) -> Column:
     """Spans of one kind: leftmost matches that don't overlap, in code points, with a score of THRESHOLD or more.
 
     The pieces between matches and the matches themselves give every start.
-    hint is a cheap test that every text with a match passes.
+    hint is a cheap test that every text with a match passes. With context,
+    score also gets the NEAR characters before and after the span, one array;
+    where the text goes on, they end in the character that follows and an x, so
+    that a word that is cut there is none.
     """
     span = SPAN
+    edge = NEAR + 1
 
     def place(pair: Column) -> Column:
         gaps, matches = pair["gaps"], pair["matches"]
-        lengths = F.zip_with(matches, F.slice(gaps, F.lit(1), F.size(matches)), lambda m, g: F.struct(F.length(g).alias("g"), F.length(m).alias("m"), m.alias("s"), F.right(g, F.lit(NEAR)).alias("before")))
-        begin = F.struct(F.lit(0).alias("at"), F.array().cast(span).alias("out"))
+
+        def piece(m: Column, i: Column) -> Column:
+            g = F.get(gaps, i)
+            fields = [g.alias("gap"), F.length(g).alias("g"), F.length(m).alias("m"), m.alias("s")]
+            if context:  # a match has ten characters at least
+                parts = [p for k in range(1, 5) for p in (F.get(gaps, i + k), F.get(matches, i + k))]
+                after = F.left(F.concat(*[F.coalesce(p, F.lit("")) for p in parts]), F.lit(edge))
+                fields.append(F.when(F.length(after) == edge, F.concat(after, F.lit("x"))).otherwise(after).alias("after"))
+            return F.struct(*fields)
+
+        lengths = F.transform(matches, piece)
+        begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(span).alias("out"))
 
         def step(acc: Column, x: Column) -> Column:
             start = acc["at"] + x["g"]
             end = start + x["m"]
-            s = score(x["s"], x["before"])
+            tail, near = F.lit(""), F.array().cast("array<string>")
+            if context:
+                before = F.right(F.concat(acc["tail"], x["gap"]), F.lit(edge))
+                near = F.array(F.when(F.length(before) == edge, F.concat(F.lit("x"), before)).otherwise(before), x["after"])
+                tail = F.right(F.concat(before, x["s"]), F.lit(edge))
+            s = score(x["s"], near)
             one = F.array(F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("ord"), end.alias("end"), F.lit(kind).alias("kind"), s.alias("score"))).cast(span)
-            return F.struct(end.alias("at"), F.when(s >= THRESHOLD, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+            return F.struct(end.alias("at"), tail.alias("tail"), F.when(s >= THRESHOLD, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
         return F.aggregate(lengths, begin, step, lambda acc: acc["out"])
 
@@ -111,15 +145,15 @@ def spans(text: Column) -> dict[str, Column]:
     n = F.length
     has = lambda c: F.contains(text, F.lit(c))
     digit = F.rlike(text, F.lit("[0-9]"))
-    near = lambda before, form, base: F.lit(base) + F.when(F.rlike(before, F.lit(form)), 0.4).otherwise(0.0)
+    near = lambda around, form, base: F.lit(base) + F.when(F.exists(around, lambda x: F.rlike(x, F.lit(form))), 0.4).otherwise(0.0)
     return {
         "email": _located(text, "email", EMAIL, has("@"), lambda m, b: F.lit(1.0)),
         "ip": _located(text, "ip", IP, digit & has("."), lambda m, b: _yes(_ip_parts(m))),
         "card": _located(text, "card", CARD, digit, lambda m, b: _yes(F.when(n(_digits(m)).between(14, 19), _luhn(_digits(m))).otherwise(F.lit(False)))),
         "phone": _located(text, "phone", PHONE, has("+"), lambda m, b: _yes(n(_digits(m)).between(10, 15))),
         "iban": _located(text, "iban", IBAN, digit, lambda m, b: _yes(n(F.replace(m, F.lit(" "), F.lit(""))).between(15, 34) & _mod97(m))),
-        "local_phone": _located(text, "local_phone", LOCAL_PHONE, digit, lambda m, b: near(b, PHONE_WORDS, 0.3)),
-        "ssn": _located(text, "ssn", SSN, digit, lambda m, b: near(b, SSN_WORDS, 0.3)),
+        "local_phone": _located(text, "local_phone", LOCAL_PHONE, digit, lambda m, b: near(b, PHONE_WORDS, 0.3), context=True),
+        "ssn": _located(text, "ssn", SSN, digit, lambda m, b: near(b, SSN_WORDS, 0.3), context=True),
     }
 
 

@@ -233,6 +233,19 @@ def test_added_spans_need_checksum_or_context(spark):
     assert got == {1: "iban:0:27", 2: "", 3: "local_phone:5:18", 4: "", 5: "ssn:4:15", 6: ""}
 
 
+def test_context_words_around_spans_and_ibans_before_words(spark):
+    far = "phone " + "a " * 20
+    rows = [
+        (1, "phone number: 020 7946 0958"), (2, "SSN is 123-45-6789"), (3, "call me at 555 123 4567"), (4, "555 123 4567 (fax)"), (5, "recall 555 123 4567"), (6, far + "555 123 4567"),
+        (7, "tel 020 7946 0958, 020 7946 0959"), (8, "ES91 2100 0418 4502 0005 1332 BIC X"), (9, "GB82 WEST 1234 5698 7654 32 DE89 3704 0044 0532 0130 00"),
+    ]
+    got = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {
+        1: "local_phone:14:27", 2: "ssn:7:18", 3: "local_phone:11:23", 4: "local_phone:0:12", 5: "", 6: "", 7: "local_phone:4:17,local_phone:19:32",
+        8: "iban:0:29", 9: "iban:0:27,iban:28:55",
+    }
+
+
 def test_line_groups(spark):
     base = "the quick brown fox jumps over the lazy dog and runs far away into the deep dark forest where nobody " * 4
     rows = [(1, base + "1\nshort\n" + base + "2"), (2, "An intro line of five words\n" + base.upper() + "3\nshort"), (3, "an INTRO line of five, words\nother words stand in this line")]
