@@ -112,6 +112,24 @@ KNOWN = {
     "MIT": (_MIT, "MIT License\n" + _MIT, "Released under the MIT License.", "Licensed under the MIT License.", "SPDX-License-Identifier: MIT"),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"),
 }
+# SHA-256 of the canonical forms of full licence texts, as Debian ships them; a second one is of the text up to "END OF
+# TERMS AND CONDITIONS", without its appendix.
+FULL_TEXTS = {
+    "Apache-2.0": ("405f3e81bce50e043ece9c20a3c65de9dc5ccd2e86d02b355b633c70a2d343da", "1469ca1ff6421801473eb2a0a564a724672d5c61b72ba35bf9f536ee3d6daf2a",),
+    "Artistic-1.0-Perl": ("08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702",),
+    "BSD-3-Clause": ("21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651",),
+    "CC0-1.0": ("96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",),
+    "GFDL-1.2": ("5379e6f33e826ba185b23fd11a414555c2161fda481478babd1e73a3ae098a71",),
+    "GFDL-1.3": ("93d6108daecdddc5f284cf8f2512fb0d72f6e9ee12381feb9704ba194b00c3e6",),
+    "GPL-1.0": ("9e12a40a9b22c45d116f19e1746b08ea0b853519de3e03ceb780f2a36d5f388c", "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc",),
+    "GPL-2.0": ("efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821", "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34",),
+    "GPL-3.0": ("5a03c45024821019e59bbbf8d5bd13f8395e4e13204f3e1cf7fb58b2422ec219", "ad4a8c0f86b40eeaec03087f95684ff7965ffea480d1a58d4d7d9cb5ea929725",),
+    "LGPL-2.0": ("289c8b47fa0ec7e5f22cd33d32feaa06f015b0f2fdb9ad916979b1011ca8c015", "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260",),
+    "LGPL-2.1": ("5ddd6039d3b090c51328879800301dd19b1ad99e14d00f3c6f221ab45a32db57", "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4",),
+    "LGPL-3.0": ("aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",),
+    "MPL-1.1": ("1cfb6cca26abe2169c9c61164807107b2d4a0b64955a2cf2de46fad3483acda1",),
+    "MPL-2.0": ("95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9",),
+}
 #: Every known canonical form has one of these; a text without any can't be one and is not brought to its form.
 MARKS = r"licen|permi"
 
@@ -141,6 +159,7 @@ def canonical_text(text: str) -> str:
 def known_digests(spark: SparkSession) -> DataFrame:
     """(digest, license): a row for each known text; a fixed and small number."""
     rows = {(hashlib.sha256(canonical_text(t).encode()).hexdigest(), name) for name, texts in KNOWN.items() for t in texts}
+    rows |= {(digest, name) for name, digests in FULL_TEXTS.items() for digest in digests}
     return spark.createDataFrame(sorted(rows), "digest string, license string")
 
 

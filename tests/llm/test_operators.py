@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import pathlib
 import re
 import zlib
 
@@ -205,6 +206,18 @@ def test_whole_licences_and_lines(spark):
     assert got == {1: ("MIT", "", 0), 2: (None, "MIT", 1), 3: (None, "", 0), 4: (None, "", 0)}
 
 
+def test_full_licence_texts(spark):
+    folder = pathlib.Path("/usr/share/common-licenses")
+    if not folder.is_dir():
+        pytest.skip("no licence texts on this machine")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "GFDL-1.3": "GFDL-1.3"}
+    rows = [(n, (folder / f).read_text()) for n, f in names.items()]
+    rows.append(("GPL-2.0", rows[1][1].split("END OF TERMS AND CONDITIONS")[0] + "END OF TERMS AND CONDITIONS"))
+    rows = [(i, text, n) for i, (n, text) in enumerate(rows)]
+    got = {r.doc_id: r.license for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, name string")).collect()}
+    assert got == {i: n for i, _, n in rows}
+
+
 def _luhn(x):
     d = [int(c) for c in reversed(x)]
     return sum(v if i % 2 == 0 else sum(divmod(2 * v, 10)) for i, v in enumerate(d)) % 10 == 0
