@@ -54,5 +54,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_extract_html, op2_mix_sources, op3_line_dedup, op4_decontaminate, op5_near_duplicates, op6_quality_model, op7_quality_rules, op8_token_files, op9_license_scan, op10_find_pii)}
 
 
-def oracle_sql() -> dict[str, str]:
+def expected_sql() -> dict[str, str]:
     return {}
