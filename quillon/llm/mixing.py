@@ -22,12 +22,8 @@ from quillon.session import materialise
 SHARDS = 4096
 #: Blocks over the whole corpus at most. Fewer where that would make them shorter than a word.
 BLOCKS = 2**26
-#: Parts that a copy is counted in, and lanes of a source and size class, when copies are made whole.
-UNIT = 2**24
-LANES = 64
-
-#: Rows of the plan (about 100 bytes each in memory) that are broadcast to the texts at most.
-BROADCAST_ROWS = 1_000_000
+#: Bits of a document's place in the order of its shard, when documents are taken whole, and those of them that make its lane.
+PLACE_BITS, LANE_BITS = 62, 12
 
 
 def source_targets(sources: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: float = 3.0) -> DataFrame:
@@ -85,6 +81,14 @@ def _hash(seed: int, *columns: Column | str) -> Column:
     return F.xxhash64(F.lit(seed), *columns)
 
 
+def _source_quotas(sums: DataFrame, weights: Sequence[float], cap: float, blocks: int) -> DataFrame:
+    """sums: (source, source_size). Adds the columns of source_targets(), block (words of one) and quota (blocks of the source)."""
+    sources = source_targets(sums, weights, cap)
+    sources = sources.withColumn("block", F.greatest(F.lit(1), F.ceil(F.col("total") / blocks)).cast("long"))
+    sources = sources.withColumn("seats", F.ceil(F.col("total") / F.col("block")).cast("long"))
+    return sainte_lague(sources, [], "idx", "target", "seats", "quota")
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = (1, 2, 3),
@@ -108,10 +112,7 @@ def mix(
     units = materialise(counted.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("rows")))
 
     sums = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
-    sources = source_targets(sums, weights, cap)
-    sources = sources.withColumn("block", F.greatest(F.lit(1), F.ceil(F.col("total") / blocks)).cast("long"))
-    sources = sources.withColumn("seats", F.ceil(F.col("total") / F.col("block")).cast("long"))
-    sources = sainte_lague(sources, [], "idx", "target", "seats", "quota")
+    sources = _source_quotas(sums, weights, cap, blocks)
     sources = sources.withColumn("shards", F.when(F.col("total") > 0, F.greatest(F.lit(1), F.ceil(F.lit(shards) * F.col("source_size") / F.col("total")))).otherwise(1).cast("long"))
     sources = materialise(sources.select("source", "idx", "source_size", "target", "block", "quota", "shards"), 1)
 
@@ -144,50 +145,61 @@ def mix(
     return one_each.select("doc_id", "source", F.col("size").cast("long"), F.col("source_size").cast("long"), F.col("target").cast("double"), "taken")
 
 
-def _whole_copies(plan: DataFrame, seed: int) -> DataFrame:
-    """plan: (_id, _source, _size, _rows, taken). Adds _copies: taken / _size in whole copies.
+def _placed(size: Column, doc_id: Column, seed: int) -> dict[str, Column]:
+    """_shard (a size class by powers of two) and _at (a seeded place in its order, 62 bits) of a document with words."""
+    shard = F.floor(F.log2(F.greatest(size, F.lit(1)))).cast("int")
+    return {"_shard": shard, "_at": F.shiftrightunsigned(_hash(seed + 2, doc_id, size), 64 - PLACE_BITS)}
 
-    The parts of a copy are added up along an order that spans the source, and a
-    document gets one more where the sum passes a whole number. The order goes by
-    size class, then by seeded lane and hash: what a source is off by is then
-    about one long document. Lanes are summed alone and begin where the lane
-    before them ends, so no window holds a whole source's documents.
+
+def _cuts(docs: DataFrame, weights: Sequence[float], cap: float, seed: int, blocks: int) -> DataFrame:
+    """(_source, _class, _passes, _cut): documents of a shard are taken _passes times, and once more up to place _cut.
+
+    A shard is a source's documents of one size class. Its blocks are the first of
+    its seeded order; the document in which they end is taken if most of it lies
+    within. So a source misses its target by half a document of each class at
+    most, by less than its longest in all. The order is summed up by lanes, and
+    only the lanes in which a shard's blocks end are gone through by document.
     """
-    part = F.when(F.col("_size") > 0, F.floor(F.col("taken") % F.col("_size") * UNIT / F.col("_size"))).otherwise(0).cast("long")
-    parts = plan.withColumns({
-        "_part": part,
-        "_class": F.floor(F.log2(F.greatest(F.lit(1), F.col("_size") * F.col("_rows"))) * 4).cast("int"),
-        "_lane": F.pmod(_hash(seed + 3, "_id", "_size"), F.lit(LANES)).cast("int"),
-    })
-    parts = materialise(parts)
-    before = Window.partitionBy("_source").orderBy("_class", "_lane").rowsBetween(Window.unboundedPreceding, -1)
-    lanes = parts.groupBy("_source", "_class", "_lane").agg(F.sum("_part").alias("_sum"))
-    begin = F.lit(UNIT // 2) + F.coalesce(F.sum("_sum").over(before), F.lit(0))
-    lanes = materialise(lanes.select(F.col("_source").alias("_s"), F.col("_class").alias("_c"), F.col("_lane").alias("_l"), begin.cast("long").alias("_begin")))
-
-    w = Window.partitionBy("_source", "_class", "_lane").orderBy(_hash(seed + 4, "_id", "_size"), "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
-    laid = parts.withColumn("_to", F.sum("_part").over(w))
-    laid = laid.join(lanes, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_class") == F.col("_c")) & (F.col("_lane") == F.col("_l")))
-    to = F.col("_begin") + F.col("_to")
-    more = F.floor(to / UNIT) - F.floor((to - F.col("_part")) / UNIT)
-    whole = F.when(F.col("_size") > 0, F.floor(F.col("taken") / F.col("_size")) + more).otherwise(0)
-    return laid.select("_id", "_source", "_size", whole.cast("int").alias("_copies"))
-
-
-def mixed_documents(docs: DataFrame, seed: int = 17, **options: object) -> DataFrame:
-    """The documents of the mix: each row of docs as often as its taken words come to its size.
-
-    Parts of a copy are rounded so that each source has its words, not each
-    document by itself. Columns are those of docs. Documents without words are
-    taken nowhere.
+    sized = docs.select("source", "doc_id", n_words(F.col("text")).alias("_size")).withColumns(_placed(F.col("_size"), F.col("doc_id"), seed))
+    slim = materialise(sized.select("source", "_size", "_shard", "_at", F.shiftright("_at", PLACE_BITS - LANE_BITS).alias("_lane")))
+    sources = _source_quotas(slim.groupBy("source").agg(F.sum("_size").alias("source_size")), weights, cap, blocks)
+    sources = materialise(sources.select(F.col("source").alias("_source"), "idx", "block", F.col("quota").alias("source_quota")), 1)
+    lanes = slim.where("_size > 0").groupBy("source", "_shard", "_lane").agg(F.sum("_size").alias("words"))
+    lanes = materialise(lanes.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("source"))
+    shards = lanes.groupBy("idx", "_shard").agg(F.sum("words").alias("shard_size"), F.first("source_quota").alias("source_quota"), F.first("block").alias("block"))
+    shards = sainte_lague(shards, ["idx"], "_shard", "shard_size", "source_quota", "quota")
+    given = F.least(F.col("quota") * F.col("block"), (F.col("shard_size") * cap).cast("long"))
+    shards = shards.withColumn("_passes", F.floor(given / F.col("shard_size")).cast("int")).withColumn("_rest", given - F.col("_passes") * F.col("shard_size"))
+    shards = materialise(shards.select("idx", "_shard", "_passes", "_rest"), 1)
+
+    before = Window.partitionBy("idx", "_shard").orderBy("_lane").rowsBetween(Window.unboundedPreceding, -1)
+    ends = lanes.withColumn("_before", F.coalesce(F.sum("words").over(before), F.lit(0))).join(shards, ["idx", "_shard"])
+    ends = ends.where("_before < _rest AND _rest <= _before + words")
+    ends = materialise(ends.select("idx", "_source", F.col("_shard").alias("_s"), F.col("_lane").alias("_l"), (F.col("_rest") - F.col("_before")).alias("_left")))
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("_shard") == F.col("_s")) & (F.col("_lane") == F.col("_l"))
+    units = slim.where("_size > 0").join(ends, same).groupBy("idx", "_shard", "_lane", "_left", "_at").agg(F.sum("_size").alias("words"))
+    until = Window.partitionBy("idx", "_shard").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    within = F.sum("words").over(until) - F.col("words") / 2 <= F.col("_left")
+    last = units.withColumn("_in", within).groupBy("idx", "_shard").agg(F.max(F.when(F.col("_in"), F.col("_at"))).alias("_last"), F.first("_lane").alias("_lane"))
+    cut = last.select("idx", "_shard", F.coalesce("_last", F.shiftleft(F.col("_lane").cast("long"), PLACE_BITS - LANE_BITS) - 1).alias("_cut"))
+    every = shards.join(cut, ["idx", "_shard"], "left").join(sources.select("idx", "_source"), "idx")
+    return materialise(every.select("_source", F.col("_shard").alias("_class"), "_passes", F.coalesce("_cut", F.lit(-1)).alias("_cut")), 1)
+
+
+def mixed_documents(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: float = 3.0, seed: int = 17, blocks: int = BLOCKS) -> DataFrame:
+    """The documents of the mix: each row of docs as often as the mix takes it whole. Columns are those of docs.
+
+    Targets and quotas are those of mix(); shards are a source's size classes, so
+    that a small table of cuts tells every document from its own hash how often
+    it is taken, wherever it lies: texts aren't moved and no plan grows with the
+    documents. Rows that repeat a doc_id, source and size are taken alike.
+    Documents without words are taken nowhere; a null source is a source of its
+    own, a null doc_id an id like others. An empty table gives no rows.
     """
-    plan = mix(docs, seed=seed, **options).groupBy("doc_id", "source", "size").agg(F.first("taken").alias("taken"), F.count(F.lit(1)).alias("rows"))
-    plan = plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("rows").alias("_rows"), "taken")
-    plan = _whole_copies(plan, seed).where("_copies > 0")
-    plan = materialise(plan)
-    if plan.count() <= BROADCAST_ROWS:  # then no text is moved; beyond, both sides are dealt by the planner
-        plan = F.broadcast(plan)
-    sized = docs.select(F.struct("*").alias("_row"), n_words(F.col("text")).alias("_words"))
-    on = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & F.col("_row.source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size"))
-    repeated = sized.join(plan, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    cuts = _cuts(docs, weights, cap, seed, blocks)
+    sized = docs.select(F.struct("*").alias("_row"), n_words(F.col("text")).alias("_size")).where("_size > 0")
+    sized = sized.withColumns(_placed(F.col("_size"), F.col("_row.doc_id"), seed))
+    found = sized.join(cuts, F.col("_row.source").eqNullSafe(F.col("_source")) & (F.col("_shard") == F.col("_class")))
+    copies = F.col("_passes") + (F.col("_at") <= F.col("_cut")).cast("int")
+    repeated = found.withColumn("_copies", copies).where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return repeated.select("_row.*")
