@@ -1,11 +1,13 @@
 """Main text of web pages by composite text density.
 
-A small tree builder reads the page; parts that are boilerplate by their element
-or by the words of their class, id or role are cut off. For each node that is
-left, its density is characters per tag, adjusted by how much of its text stands
-in links. The node whose children's densities sum highest is the main subtree;
-the least density on the path from it up to the body is the threshold that other
-parts of the page must reach to be main text too.
+A small tree builder reads the page. Parts that are boilerplate by their element
+are cut off; those that a class, id or role speaks against are cut off unless
+nearly all of the page's text stands in them. For each node that is left, its
+density is characters per tag, adjusted by how much of its text stands in links.
+The node whose children's densities sum highest is the main subtree; the least
+density on the path from it up to the body is the threshold that other parts of
+the page must reach to be main text too. Blocks that are hardly more than links
+are left out wherever they stand.
 """
 
 from __future__ import annotations
@@ -13,7 +15,8 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,19 +29,28 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul caption".split()
 )
-CUT = frozenset("head script style noscript iframe template textarea title nav footer aside form button select option input label fieldset dialog menu svg canvas audio video object embed map math xmp noembed noframes search".split())
+CUT = frozenset("head script style noscript iframe template textarea title nav footer button select option input label fieldset dialog menu svg canvas audio video object embed map math xmp noembed noframes search".split())
+#: Elements that are cut unless nearly all text stands in them.
+SUSPECT = frozenset("aside form header".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that hold a run of text; an element around them is the main subtree, not one of them.
 TEXTUAL = HEADINGS | frozenset("p pre li dt dd figcaption caption legend address summary".split())
 #: A start tag of the key ends an open element of the value, unless a container stands between.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table body html article section div main".split())
+#: Elements that an end tag of a text element doesn't reach out of.
+CELLS = frozenset("td th li table body".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
-#: Words of class or id that mark boilerplate, as whole words between - _ and capitals.
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|adsense|adslot|sponsor|sponsored|promo|promotion|banner|sidebar|side-bar|aside|rail|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|footer|foot|masthead|topbar|site-header|page-header|header|cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|signup|login|comment|comments|commentlist|disqus|respond|replies|discussion|share|sharing|social|related|recommended|widget|widgets|pagination|pager|skip|hidden)(?=$|[\s_-]|\d)",
-    re.I,
+# What a class or id that marks boilerplate ends in, what may still follow it, and what turns it round.
+MARKS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense adslot sponsor sponsors sponsored promo promos promotion banner banners sidebar aside rail menu menus nav navbar navigation breadcrumb breadcrumbs footer foot masthead topbar header cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe signup login comment comments commentlist disqus respond replies reply discussion share sharing social related recommended recommendations widget widgets pagination pager skip hidden".split()
 )
+AFTER_MARK = frozenset("container wrapper wrap box block section area region list bar link links button buttons inner outer content item items group panel slot unit left right top bottom main primary secondary global row col column thread form posts articles stories icons message text".split())
+TURNED = frozenset("no not non has have with without is hide show".split())
+COMMENTS = re.compile(r"(?:\d+\s+)?(?:(?:reader |user )?comments?|responses|discussion|leave a (?:reply|comment)|kommentare?|commentaires?|comentarios?)(?:\s*\(?\d*\)?)?:?", re.I)
+COPYRIGHT = re.compile(r"(?:copyright\s*)?(?:©|\(c\)|copyright)\s*\d{4}\b.{0,150}", re.I)
+#: Links of a block without much else, and the share of their text (in tenths), from which on it is left out.
+LINKS, LINK_TENTHS = 3, 7
 TOKEN = re.compile(
     r"<!--(?:(?!-->).)*+(?:-->|$)"
     r"|<[!?][^>]*+(?:>|$)"
@@ -46,7 +58,7 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|$)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|$)", re.I) for name in RAW}
 
@@ -54,13 +66,27 @@ RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|$)", re.I) for name in RAW}
 class Node:
     """An element: parts are its texts and elements in page order."""
 
-    __slots__ = ("chars", "cut", "density", "inside", "kids_sum", "link_chars", "link_tags", "name", "parent", "parts", "tags")
+    __slots__ = ("chars", "cut", "density", "holds", "kids_sum", "link_chars", "link_tags", "name", "parent", "parts", "suspect", "tags")
 
-    def __init__(self, name: str, parent: Node | None, cut: bool = False, inside: bool = False) -> None:
-        self.name, self.parent, self.cut, self.inside = name, parent, cut, inside
+    def __init__(self, name: str, parent: Node | None, cut: bool = False, suspect: bool = False) -> None:
+        self.name, self.parent, self.cut, self.suspect = name, parent, cut, suspect
         self.parts: list[str | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.kids_sum = 0.0
+        self.holds = name in ("article", "main", "h1")
+
+
+def _marks(value: str, inside: bool) -> bool:
+    """Whether a class or id speaks against a part: its last word does, bar numbers and words for boxes and places."""
+    for token in CAMEL.sub("-", value).lower().split():
+        words = [w for w in re.split(r"[-_:]+|\d+", token) if w]
+        if not words or words[0] in TURNED:
+            continue
+        while len(words) > 1 and words[-1] in AFTER_MARK:
+            words.pop()
+        if words[-1] in MARKS and not (inside and words[-1] == "header" and words[0] not in ("site", "page", "top")):
+            return True
+    return False
 
 
 def _is_marked(attributes: str, name: str, inside: bool) -> bool:
@@ -70,35 +96,79 @@ def _is_marked(attributes: str, name: str, inside: bool) -> bool:
             return True
         if key == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if key in ("class", "id") and name not in ("body", "html", "article", "main") and MARKED.search(CAMEL.sub("-", value)):
-            return not (inside and re.search(r"header", value, re.I) and not re.search(r"site|page|top", value, re.I))
+        if key in ("class", "id") and name not in ("article", "main") and _marks(value, inside):
+            return True
     return False
 
 
+class _Open:
+    """The elements that are open, so that a tag finds those that it ends without going up through all."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack = [root]
+        self.at: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+        self.scopes: list[int] = []
+        self.cells: list[int] = []
+        self.articles = 0
+
+    def push(self, node: Node) -> None:
+        k = len(self.stack)
+        self.stack.append(node)
+        self.at[node.name].append(k)
+        for names, places in ((BLOCK, self.blocks), (SCOPE, self.scopes), (CELLS, self.cells)):
+            if node.name in names:
+                places.append(k)
+        self.articles += node.name in ("article", "main")
+
+    def pop_to(self, k: int) -> None:
+        """Ends the element at k and all above it."""
+        while len(self.stack) > k:
+            node = self.stack.pop()
+            self.at[node.name].pop()
+            for names, places in ((BLOCK, self.blocks), (SCOPE, self.scopes), (CELLS, self.cells)):
+                if node.name in names:
+                    places.pop()
+            self.articles -= node.name in ("article", "main")
+
+    def end(self, name: str) -> None:
+        """An end tag; those of text elements don't reach out of a cell or list item."""
+        places = self.at.get(name)
+        if places and (name in BLOCK or not self.cells or self.cells[-1] < places[-1]):
+            self.pop_to(places[-1])
+
+    def make_room(self, name: str) -> None:
+        """A block ends the paragraph that it stands in; rows, cells and items end those before them, up to their table or list."""
+        if self.blocks and self.stack[self.blocks[-1]].name == "p":
+            self.pop_to(self.blocks[-1])
+        scope = self.scopes[-1] if self.scopes else 0
+        ended = [places[i] for x in ENDS.get(name, ()) if (i := bisect_right(places := self.at[x], scope)) < len(places)]
+        if ended:
+            self.pop_to(min(ended))
+
+
 def parse(page: str) -> Node:
-    """The tree of a page. Elements that a browser would end by what follows are ended; ends without a start are left out."""
-    root = here = Node("#root", None)
-    is_open: Counter[str] = Counter()  # so that an end tag without a start costs no way up
+    """The tree of a page. Elements that a browser would end by what follows are ended; ends without a start are left out.
+
+    Character references are decoded in each run of text by itself.
+    """
+    root = Node("#root", None)
+    open_ = _Open(root)
     at, n = 0, len(page)
 
-    def end(node: Node, last: Node) -> Node:
-        """Ends node and what stands above it up to last; their elements are open no longer."""
-        while True:
-            is_open[node.name] -= 1
-            if node is last:
-                return node.parent or root
-            node = node.parent or root
+    def text(run: str) -> None:
+        open_.stack[-1].parts.append(html.unescape(run) if "&" in run else run)
 
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
-            here.parts.append(page[at:])
+            text(page[at:])
             break
         if lt > at:
-            here.parts.append(page[at:lt])
+            text(page[at:lt])
         m = TOKEN.match(page, lt)
         if not m:
-            here.parts.append("<")
+            text("<")
             at = lt + 1
             continue
         at = m.end()
@@ -107,53 +177,38 @@ def parse(page: str) -> Node:
             continue
         name = name.lower()
         if m[1] or m[4]:
-            if is_open[name]:
-                node = here
-                while node.name != name and not (name not in BLOCK and node.name in ("td", "th", "li", "table", "body")):
-                    node = node.parent or root
-                if node.name == name:
-                    here = end(here, node)
+            open_.end(name)
             continue
         attributes = m[3] or m[6] or ""
         if name in BLOCK:
-            if is_open["p"]:
-                node = here
-                while node.parent is not None and node.name not in BLOCK:
-                    node = node.parent
-                if node.name == "p":
-                    here = end(here, node)
-            ended = ENDS.get(name, ())
-            if any(is_open[x] for x in ended):
-                node = here
-                while node.parent is not None and node.name not in SCOPE:
-                    if node.name in ended:
-                        here = end(here, node)
-                    node = node.parent
-        inside = here.inside
-        cut = name in CUT or name == "header" and not inside or bool(attributes) and _is_marked(attributes, name, inside)
-        node = Node(name, here, cut, inside or name in ("article", "main"))
+            open_.make_room(name)
+        inside = open_.articles > 0
+        here = open_.stack[-1]
+        suspect = name not in ("html", "body") and (name in SUSPECT and not (name == "header" and inside) or bool(attributes) and _is_marked(attributes, name, inside))
+        node = Node(name, here, name in CUT, suspect)
         here.parts.append(node)
         if name in RAW:
             close = RAW_END[name].search(page, at)
             at = close.start() if close else n
         if name not in VOID and not (attributes.rstrip().endswith("/") and name not in BLOCK):
-            here = node
-            is_open[name] += 1
+            open_.push(node)
     return root
 
 
-def _measure(root: Node) -> tuple[Node, Node]:
-    """Counts of every node that is left, bottom up; the body (the root if there is none) and the nodes in page order."""
-    order: list[Node] = []
-    stack = [root]
-    body = root
+def _ordered(root: Node) -> list[Node]:
+    """Nodes that aren't cut, in page order."""
+    order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
-        if node.name == "body":
-            body = node
-        kids = [p for p in node.parts if isinstance(p, Node) and not p.cut]
-        stack.extend(reversed(kids))
+        stack.extend(p for p in reversed(node.parts) if isinstance(p, Node) and not p.cut)
+    return order
+
+
+def _count(order: list[Node]) -> None:
+    """Characters, tags and links of every node, bottom up."""
+    for node in order:
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
     for node in reversed(order):
         for part in node.parts:
             if isinstance(part, str):
@@ -163,6 +218,51 @@ def _measure(root: Node) -> tuple[Node, Node]:
                 node.tags += part.tags + 1
                 node.link_chars += part.chars if part.name == "a" else part.link_chars
                 node.link_tags += part.link_tags + (part.name == "a")
+                node.holds = node.holds or part.holds
+
+
+def _cut_off(root: Node) -> list[Node]:
+    """Cuts suspect parts, but for those that hold the article's element or nearly all text. Returns the nodes that are left."""
+    order = _ordered(root)
+    _count(order)
+    if any(x.suspect for x in order):
+        stack, outermost = [root], []
+        while stack:
+            node = stack.pop()
+            if node.suspect and not node.holds:
+                outermost.append(node)
+            else:
+                stack.extend(p for p in node.parts if isinstance(p, Node) and not p.cut)
+        outside = root.chars - sum(x.chars for x in outermost)
+        for x in outermost:
+            x.cut = not (x.chars > 10 * outside and x.link_chars * 2 <= x.chars and all(y is x or y.chars <= x.chars for y in outermost))
+        kept = [x for x in outermost if not x.cut]
+        for x in kept:  # what is suspect within is cut
+            for y in _ordered(x)[1:]:
+                y.cut = y.suspect and not y.holds and y.chars * 2 < x.chars
+        order = _ordered(root)
+        _count(order)
+    return order
+
+
+def _measure(root: Node) -> tuple[Node, Node]:
+    """The body (the root if there is none) and the main subtree."""
+    order = _cut_off(root)
+    body = next((x for x in reversed(order) if x.name == "body"), root)
+    for node in order:
+        for part in node.parts:
+            if isinstance(part, Node) and not part.cut and _only_links(part):
+                part.cut = True
+            elif isinstance(part, Node) and part.name in HEADINGS and part.name != "h1" and COMMENTS.fullmatch(" ".join(_text(part).split())):
+                rest = node.parts[node.parts.index(part) :]
+                if sum(x.chars for x in rest if isinstance(x, Node) and not x.cut) < body.chars - sum(x.chars for x in rest if isinstance(x, Node)):
+                    for x in rest:
+                        if isinstance(x, Node):
+                            x.cut = True
+                    node.parts[node.parts.index(part) :] = [x for x in rest if isinstance(x, Node)]
+                break
+    order = _ordered(root)
+    _count(order)
     c, lc = max(1, body.chars), body.link_chars
     for node in order:
         node.density = density(node.chars, node.tags, node.link_chars, node.link_tags, lc / c)
@@ -173,6 +273,24 @@ def _measure(root: Node) -> tuple[Node, Node]:
     return body, best if best.kids_sum > 0 else body
 
 
+def _only_links(node: Node) -> bool:
+    """A block or list of several links with little text beside them."""
+    return node.name in BLOCK and node.name not in TEXTUAL and node.link_tags >= LINKS and node.link_chars * 10 >= node.chars * LINK_TENTHS
+
+
+def _text(node: Node) -> str:
+    """The text of a short part."""
+    out: list[str] = []
+    stack: list[str | Node] = [node] if node.chars < 60 else []
+    while stack:
+        part = stack.pop()
+        if isinstance(part, str):
+            out.append(part)
+        elif not part.cut:
+            stack.extend(reversed(part.parts))
+    return "".join(out)
+
+
 def density(chars: int, tags: int, link_chars: int, link_tags: int, page_ratio: float) -> float:
     """Composite text density: characters per tag, scaled by a logarithm whose base grows with the share of links."""
     if not chars:
@@ -200,7 +318,7 @@ def main_text(page: str | None) -> str:
     line: list[str] = []
 
     def flush() -> None:
-        text = " ".join(html.unescape("".join(line)).split())
+        text = " ".join("".join(line).split())
         line.clear()
         if text:
             blocks.append(text)
@@ -236,6 +354,8 @@ def main_text(page: str | None) -> str:
             parts.append(("\n", whole))
         stack.extend(reversed(parts))
     flush()
+    if len(blocks) > 1 and COPYRIGHT.fullmatch(blocks[-1]):
+        blocks.pop()
     return "\n".join(blocks)
 
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -44,6 +45,37 @@ def test_main_text():
     assert [html_text.main_text(x) for x in (None, "", "<", "<p>a<p>b", "plain <b>text</b>", "<div>" * 20000 + "deep")] == ["", "", "<", "a\nb", "plain text", "deep"]
 
 
+ARTICLE = "<h2>Title</h2><p>" + "Some words of the article that matter. " * 8 + "</p><p>" + "More words stand in the second paragraph. " * 6 + "</p>"
+LIST = "<ul>" + "".join(f'<li><a href="/{i}">Link number {i}</a></li>' for i in range(20)) + "</ul>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="page no-sidebar">{}</div>', '<div class="has-header-image">{}</div>', '<body><div id="alert-2">{}</div></body>', '<div data-id="menu" data-role="navigation" data-class="footer">{}</div>',
+        "<body><form>{}</form></body>", "<body>" + LIST + "<div>{}</div>" + LIST + "</body>", "<body><div>{}</div><div><h3>Comments</h3><p>I liked it a lot</p><p>Me too</p></div></body>",
+        "<body><div>{}<h3>3 Comments</h3><p>I liked it a lot</p></div></body>", "<body><div>{}</div><div>Copyright 2020 Foo inc</div></body>", '<body><div>{}</div><div class="comments">' + "<p>text of a reader, which is long</p>" * 30 + "</div></body>",
+        "<body><article>{}</article><aside>see also</aside></body>", '<body><div class="cookie-notice">We use cookies</div><main>{}</main></body>',
+    ],
+)
+def test_the_article_stays_and_the_rest_goes(page):
+    want = html_text.main_text(f"<body><div>{ARTICLE}</div></body>")
+    assert want.count("\n") == 2 and html_text.main_text(page.replace("{}", ARTICLE)) == want
+
+
+def test_paragraphs_that_only_look_marked_stay():
+    for p in ('<p title="hidden">kept</p>', '<p class="social-policy">kept</p>', '<p data-class="ad">kept</p>'):
+        assert html_text.main_text(f"<body><article>{ARTICLE}{p}</article></body>").endswith("\nkept")
+    assert html_text.main_text("<p>a &am<b>p;</b> b &lt;c&gt;</p>") == "a &amp; b <c>"
+
+
+def test_hostile_nesting_takes_linear_time():
+    began = time.time()
+    for page in ("<b><table><td>" + "<i>" * 40_000 + "</b>" * 40_000, "<div>" * 40_000 + "</p>" * 40_000, "<li>" * 40_000 + "<td>" * 40_000, "<ul><li>" * 40_000, "<h3>Comments</h3>" * 40_000, "<h3>" + "<b>" * 40_000 + "Comments"):
+        html_text.main_text(page)
+    assert time.time() - began < 60
+
+
 def _levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
