@@ -73,7 +73,7 @@ class Node:
         self.parts: list[str | Node] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.kids_sum = 0.0
-        self.holds = name in ("article", "main", "h1")
+        self.holds = name in ("article", "main")
 
 
 def _marks(value: str, inside: bool) -> bool:
