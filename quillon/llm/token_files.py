@@ -3,11 +3,11 @@
 A 64-bit word holds a selector in its four highest bits and, below, as many ids
 as the selector says, each in the selector's number of bits, the first lowest.
 Selector 15 is the escape: its word is followed by the id, in a word of its own.
-Every document is a block that starts on a word, with its place and its number
-of ids, so that blocks are decoded by themselves, a selector's words at a time.
-Blocks are rows of Parquet files in ascending doc_id order: Spark's commit of
-whole files makes lost executors harmless, and any store that Spark reaches will
-do.
+Every document is a block that starts on a word, with its number of ids and its
+offsets in ids and in words from the beginning of its part, so that blocks are
+decoded by themselves, a selector's words at a time. Blocks are rows of Parquet
+files in ascending doc_id order: Spark's commit of whole files makes lost
+executors harmless, and any store that Spark reaches will do.
 """
 
 from __future__ import annotations
@@ -27,9 +27,11 @@ from quillon.session import scratch_dir
 PACKING = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE = 15
 #: Texts of so many characters together are encoded at once.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 #: Pieces of text whose ids a worker keeps at most.
 CACHE = 1_000_000
+#: Bytes of input, as the planner estimates them, that a part holds about.
+PART_BYTES = 64 << 20
 
 
 #: PACKING is by ascending width; an id below the n-th of these fits into the n-th width.
@@ -37,44 +39,59 @@ _LIMITS = np.array([1 << w for _, w in PACKING], np.uint64)
 _COUNTS = np.array([c for c, _ in PACKING] + [0] * (ESCAPE - len(PACKING)) + [1], np.int64)
 
 
+def _choices(narrow: np.ndarray) -> np.ndarray:
+    """The best selector for a word that begins at each place: the first of PACKING whose count of next ids all fit."""
+    most = {1: narrow}  # by power of two: the widest of so many ids from a place on
+    size = 1
+    while size * 2 <= PACKING[0][0]:
+        most[size * 2] = np.maximum(most[size], np.append(most[size][size:], most[size][:size] * 0)[: len(narrow)])
+        size *= 2
+    choice = np.full(len(narrow), ESCAPE, np.int8)
+    for rank in range(len(PACKING) - 1, -1, -1):
+        count = PACKING[rank][0]
+        half = most[1 << (count.bit_length() - 1)]
+        rest = count - (1 << (count.bit_length() - 1))
+        fits = half <= rank
+        if rest:
+            fits[: len(half) - rest] &= half[rest:] <= rank
+        choice[fits] = rank
+    return choice
+
+
 def encode_blocks(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
     """A block of little-endian 64-bit words for each stretch of ids up to the next of ends. Ids are below 2**64.
 
     Greedy: each word takes the selector that holds most of the next ids; a
     block's last word may hold fewer than its selector says, the decoder knowing
-    the number. Selectors are found for all places at once; only the steps from
-    word to word are one after the other.
+    the number. Selectors are found for all places at once, with room after each
+    block in which anything fits; only the steps from word to word are one after
+    the other.
     """
     v = np.ascontiguousarray(ids, dtype=np.uint64)
-    n = len(v)
+    n, room = len(v), PACKING[0][0]
     if not n:
         return [b""] * len(ends)
-    stop_at = np.repeat(ends, np.diff(ends, prepend=0))  # of each id's block
-    narrow = np.searchsorted(_LIMITS, v, side="right").astype(np.int8)  # the first of PACKING that holds the id
-    choice = np.full(n, ESCAPE, np.int8)
-    step = np.ones(n, np.int64)
-    for rank in range(int(narrow.max()), -1, -1):
-        if rank == len(PACKING):  # for the escape
-            continue
-        count = PACKING[rank][0]
-        # Places from which the next `count` ids, or all that the block still has, fit: runs of ids that are narrow enough.
-        first = np.flatnonzero(narrow <= rank) if rank < narrow.max() else np.arange(n)
-        if len(first) == 0:
-            continue
-        gaps = np.append(np.flatnonzero(np.diff(first) != 1), len(first) - 1)
-        run_stop = np.repeat(first[gaps] + 1, np.diff(gaps, prepend=-1))
-        stop = np.minimum(first + count, stop_at[first])
-        fit = run_stop >= stop
-        first = first[fit]
-        choice[first] = rank
-        step[first] = stop[fit] - first
-    starts, at, steps = [], 0, step.tolist()
+    sizes = np.diff(ends, prepend=0)
+    sizes, stops = sizes[sizes > 0], ends[sizes > 0]
+    shift = np.repeat(np.arange(len(sizes)) * room, sizes)  # from a place among the ids to one with room
+    wide = np.zeros(n + len(sizes) * room, np.int8)
+    wide[np.arange(n) + shift] = np.searchsorted(_LIMITS, v, side="right")
+    choice = _choices(wide)
+    step = _COUNTS[choice]
+    after = stops + np.arange(1, len(sizes) + 1) * room  # where the next block begins
+    gap = (np.arange(room) - room + after[:, None]).ravel()
+    step[gap] = np.repeat(after, room) - gap
+    starts, at, steps, total = [], 0, step.tolist(), len(step)
     add = starts.append
-    while at < n:
+    while at < total:
         add(at)
         at += steps[at]
     begin = np.array(starts)
-    chosen = choice[begin]
+    block = np.searchsorted(after, begin, side="right")
+    begin, real = begin - block * room, begin - block * room < stops[block]
+    chosen = choice[np.array(starts)[real]]
+    begin, block = begin[real], block[real]
+    held_by = np.minimum(_COUNTS[chosen], stops[block] - begin)
     size = 1 + (chosen == ESCAPE)
     place = np.cumsum(size) - size
     out = np.zeros(int(size.sum()), np.uint64)
@@ -85,7 +102,7 @@ def encode_blocks(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
             out[place[mine] + 1] = v[begin[mine]]
             continue
         count, width = PACKING[selector]
-        held = step[begin[mine]]
+        held = held_by[mine]
         for k in range(count):
             full = mine if k == 0 else mine[held > k]
             out[place[full]] |= v[begin[full] + k] << np.uint64(k * width)
@@ -146,7 +163,7 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _MARKS = re.escape("!#$%&*+,-./:;=?@^_|~()")
 PIECE = re.compile(rf" ?[{_LETTERS}]+(?=[{_MARKS}]*(?:[ \n]|$))|[{_MARKS}]+(?=[ \n]|$)| ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]+")
 #: White space other than space and line feed runs over pieces; such texts are encoded whole, as are those with a special token.
-WHOLE = re.compile(r"[^\S \n]|<\|endoftext\|>")
+WHOLE = (*(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"), "<|endoftext|>")
 
 
 #: By vocabulary file, a worker's tokenizer and the ids of pieces; a worker that is used again finds them warm.
@@ -174,7 +191,7 @@ class Encoder:
         return [data[x:y] for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        whole = [i for i, t in enumerate(texts) if WHOLE.search(t)]
+        whole = [i for i, t in enumerate(texts) if any(x in t for x in WHOLE)]
         pieces = [[] if i in set(whole) else PIECE.findall(t) for i, t in enumerate(texts)] if whole else [PIECE.findall(t) for t in texts]
         new = list(set().union(*pieces).difference(self.known))
         fresh = dict(zip(new, self._piece_ids(new), strict=True)) if new else {}
@@ -189,22 +206,31 @@ class Encoder:
         return out
 
 
+def _parts(docs: DataFrame) -> int:
+    """As many as the session's shuffles have, or more where parts would be larger than PART_BYTES."""
+    estimate = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-estimate // PART_BYTES), 1 << 20))
+
+
+_FILE = "part int, doc_id {}, n_tokens long, first_id long, first_word long, block binary"
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
     """Token files of all documents at path, by ascending doc_id.
 
-    Rows: part and place (where the block stands), doc_id, n_tokens with the end
-    id, and block. Documents are dealt by ranges of doc_id, so that parts follow
-    one another; equal and null doc_ids (which come first) stand together in any
-    order.
+    Rows: part, doc_id, n_tokens with the end id, first_id and first_word (ids and
+    words of the part before the block), and block. Documents are dealt by ranges
+    of doc_id, so that parts follow one another; null doc_ids come first, and rows
+    with one doc_id stand by their texts.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select("doc_id", "text").repartitionByRange(parts, F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"))
+    order = (F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
+    ordered = docs.select("doc_id", "text").repartitionByRange(_parts(docs), order[0]).sortWithinPartitions(*order)
     ordered = ordered.select("doc_id", "text", F.spark_partition_id().alias("part"))
     id_type = ordered.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
-        mark, place = np.array([end_id], "<u4").tobytes(), 0
+        mark, first_id, first_word = np.array([end_id], "<u4").tobytes(), 0, 0
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             at = 0
@@ -214,48 +240,52 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
                     chars += len(texts[stop])
                     stop += 1
                 coded = [b + mark for b in encoder(texts[at:stop])]
-                counts = [len(b) // 4 for b in coded]
-                blocks = encode_blocks(np.frombuffer(b"".join(coded), "<u4"), np.cumsum(counts))
+                counts = np.fromiter((len(b) // 4 for b in coded), np.int64, len(coded))
+                ids = np.cumsum(counts)
+                blocks = encode_blocks(np.frombuffer(b"".join(coded), "<u4"), ids)
+                sizes = np.fromiter((len(b) // 8 for b in blocks), np.int64, len(blocks))
+                words = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(2)[at:stop].cast(pa.int32()), pa.array(range(place, place + stop - at), pa.int64()), batch.column(0)[at:stop], pa.array(counts, pa.int64()), pa.array(blocks, pa.binary())],
-                    names=["part", "place", "doc_id", "n_tokens", "block"],
+                    [batch.column(2)[at:stop].cast(pa.int32()), batch.column(0)[at:stop], pa.array(counts), pa.array(first_id + ids - counts), pa.array(first_word + words - sizes), pa.array(blocks, pa.binary())],
+                    names=["part", "doc_id", "n_tokens", "first_id", "first_word", "block"],
                 )
-                place += stop - at
+                first_id += int(ids[-1])
+                first_word += int(words[-1])
                 at = stop
 
-    blocks = ordered.mapInArrow(run, f"part int, place long, doc_id {id_type}, n_tokens long, block binary")
-    blocks.write.option("compression", "zstd").parquet(path)
+    ordered.mapInArrow(run, _FILE.format(id_type)).write.option("compression", "zstd").parquet(path)
 
 
 def read(docs: DataFrame, path: str) -> DataFrame:
-    """From the files at path: doc_id, start (ids before the document), n_tokens and ids_crc32. docs gives the type of doc_id."""
+    """From the files at path: doc_id, start (ids before the document), n_tokens and ids_crc32. docs gives the type of doc_id.
+
+    A block's offset within its part and the sizes of the parts before it give its start.
+    """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"part int, place long, doc_id {id_type}, n_tokens long, block binary"
-    files = docs.sparkSession.read.schema(schema).parquet(path)
+    files = docs.sparkSession.read.schema(_FILE.format(id_type)).parquet(path)
     sizes = files.groupBy("part").agg(F.sum("n_tokens").alias("_sum"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
     bases = sizes.select("part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, crc, at = batch.column(3).to_pylist(), [], 0
+            n, crc, at = batch.column(2).to_pylist(), [], 0
             while at < len(n):
                 stop, ids = at, 0
                 while stop < len(n) and (stop == at or ids + n[stop] <= CHUNK):
                     ids += n[stop]
                     stop += 1
-                data = decode_blocks(batch.column(4)[at:stop].to_pylist(), n[at:stop]).astype("<u4").tobytes()
+                data = memoryview(decode_blocks(batch.column(4)[at:stop].to_pylist(), n[at:stop]).astype("<u4")).cast("B")
                 place = 0
                 for k in n[at:stop]:
                     crc.append(zlib.crc32(data[place : place + 4 * k]))
                     place += 4 * k
                 at = stop
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(crc, pa.int64())], names=["part", "place", "doc_id", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(crc, pa.int64())], names=["part", "doc_id", "n_tokens", "first_id", "ids_crc32"])
 
-    checked = files.mapInArrow(run, f"part int, place long, doc_id {id_type}, n_tokens long, ids_crc32 long")
-    placed = checked.withColumn("_before", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(bases, "part")
-    return placed.select("doc_id", (F.col("_base") + F.col("_before")).alias("start"), "n_tokens", "ids_crc32")
+    slim = files.select("part", "doc_id", "n_tokens", "first_id", "block")
+    checked = slim.mapInArrow(run, f"part int, doc_id {id_type}, n_tokens long, first_id long, ids_crc32 long")
+    return checked.join(bases, "part").select("doc_id", (F.col("_base") + F.col("first_id")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def tokenise(docs: DataFrame, tokenizer: str | None = None, path: str | None = None, end_id: int = 0) -> DataFrame:
