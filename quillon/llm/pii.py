@@ -2,8 +2,8 @@
 
 The base kinds (email, ip, card, phone) stand by their form alone and always
 stay. The method adds kinds whose form is weaker: IBANs, which the mod-97 check
-confirms, and national phone and social security numbers, which need a context
-word close to them.
+confirms, and national phone numbers, social security numbers and secrets
+(tokens, keys, passwords), which need a context word close to them.
 """
 
 from __future__ import annotations
@@ -41,15 +41,20 @@ def _iban_form() -> str:
 IBAN = _iban_form()
 LOCAL_PHONE = r"(?<![A-Za-z0-9+.(-])\(?[0-9]{3,5}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9.-])"
 SSN = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
+#: Letters and digits mixed, as generated tokens and keys have them.
+SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,128}+(?![A-Za-z0-9+/_-])"
 PHONE_WORDS = r"(?i)(?<![\p{L}\p{N}])(?:phone|tel|telephone|telefon|téléphone|teléfono|call|mobile|fax)(?![\p{L}\p{N}])"
 SSN_WORDS = r"(?i)(?<![\p{L}\p{N}])(?:ssn|social security)(?![\p{L}\p{N}])"
+SECRET_WORDS = r"(?i)(?<![\p{L}\p{N}])(?:token|secret|password|passwd|pwd|bearer|credentials?|(?:api|access|private|secret|auth)[_ -]?(?:key|token)|key)(?![\p{L}\p{N}])"
 
 #: Kinds in the order in which spans with one start are listed.
-KINDS = ("email", "ip", "card", "phone", "iban", "local_phone", "ssn")
+KINDS = ("email", "ip", "card", "phone", "iban", "local_phone", "ssn", "secret")
 BASE = KINDS[:4]
 #: Characters before and after a span in which a context word counts.
 NEAR = 32
 THRESHOLD = 0.6
+#: Matches or spans that are gone through as one stretch, so that time grows with their number and not with its square.
+STRETCH = 256
 
 SPAN = "array<struct<start:int,ord:int,end:int,kind:string,score:double>>"
 
@@ -99,41 +104,66 @@ def _located(text: Column, kind: str, form: str, hint: Column, score: Callable[[
     where the text goes on, they end in the character that follows and an x, so
     that a word that is cut there is none.
     """
-    span = SPAN
     edge = NEAR + 1
 
     def place(pair: Column) -> Column:
         gaps, matches = pair["gaps"], pair["matches"]
 
+        def cut(near: Column, from_left: bool) -> Column:
+            part = (F.left if from_left else F.right)(near, F.lit(edge))
+            return F.when(F.length(part) < edge, part).otherwise(F.concat(part, F.lit("x")) if from_left else F.concat(F.lit("x"), part))
+
         def piece(m: Column, i: Column) -> Column:
-            g = F.get(gaps, i)
-            fields = [g.alias("gap"), F.length(g).alias("g"), F.length(m).alias("m"), m.alias("s")]
-            if context:  # a match has ten characters at least
-                parts = [p for k in range(1, 5) for p in (F.get(gaps, i + k), F.get(matches, i + k))]
-                after = F.left(F.concat(*[F.coalesce(p, F.lit("")) for p in parts]), F.lit(edge))
-                fields.append(F.when(F.length(after) == edge, F.concat(after, F.lit("x"))).otherwise(after).alias("after"))
+            gap = F.get(gaps, i)
+            fields = [F.length(gap).alias("g"), F.length(m).alias("m"), m.alias("s")]
+            if context:  # a match has ten characters at least, so four on each side are enough
+                text_of = lambda parts: F.concat(*[F.coalesce(p, F.lit("")) for p in parts])
+                before = text_of([p for k in range(4, 0, -1) for p in (F.get(gaps, i - k), F.get(matches, i - k))] + [gap])
+                after = text_of([p for k in range(1, 5) for p in (F.get(gaps, i + k), F.get(matches, i + k))])
+                fields.append(F.array(cut(before, False), cut(after, True)).alias("near"))
             return F.struct(*fields)
 
-        lengths = F.transform(matches, piece)
-        begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(span).alias("out"))
-
         def step(acc: Column, x: Column) -> Column:
             start = acc["at"] + x["g"]
             end = start + x["m"]
-            tail, near = F.lit(""), F.array().cast("array<string>")
-            if context:
-                before = F.right(F.concat(acc["tail"], x["gap"]), F.lit(edge))
-                near = F.array(F.when(F.length(before) == edge, F.concat(F.lit("x"), before)).otherwise(before), x["after"])
-                tail = F.right(F.concat(before, x["s"]), F.lit(edge))
-            s = score(x["s"], near)
-            one = F.array(F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("ord"), end.alias("end"), F.lit(kind).alias("kind"), s.alias("score"))).cast(span)
-            return F.struct(end.alias("at"), tail.alias("tail"), F.when(s >= THRESHOLD, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+            s = score(x["s"], x["near"] if context else F.array().cast("array<string>"))
+            one = F.array(F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("ord"), end.alias("end"), F.lit(kind).alias("kind"), s.alias("score"))).cast(SPAN)
+            return F.struct(end.alias("at"), F.when(s >= THRESHOLD, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+
+        def spans_of(stretches: Column, begins: Column) -> Column:
+            begin = lambda b: F.struct(F.get(begins, b).alias("at"), F.array().cast(SPAN).alias("out"))
+            return F.flatten(F.transform(stretches, lambda p, b: F.aggregate(p, begin(b), step, lambda acc: acc["out"])))
 
-        return F.aggregate(lengths, begin, step, lambda acc: acc["out"])
+        def from_begins(stretches: Column) -> Column:
+            sums = F.transform(stretches, lambda p: F.aggregate(p, F.lit(0), lambda a, x: a + x["g"] + x["m"]))
+            begins = F.aggregate(sums, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+            return let(begins, lambda at: spans_of(stretches, at))
+
+        return let(F.transform(matches, piece), lambda lengths: let(_stretches(lengths), from_begins))
 
     pair = F.struct(F.split(text, form, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(form), F.lit(0)).alias("matches"))
     found = hint & F.rlike(text, F.lit(form))
-    return F.when(found, let(pair, place)).otherwise(F.array().cast(span))
+    return F.when(found, let(pair, place)).otherwise(F.array().cast(SPAN))
+
+
+def _stretches(array: Column) -> Column:
+    """The array in arrays of STRETCH elements; none for an empty one."""
+    n = F.ceil(F.size(array) / STRETCH).cast("int")
+    return F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), lambda b: F.slice(array, b * STRETCH + 1, STRETCH))
+
+
+def _free(added: Column, base: Column) -> Column:
+    """The added spans that overlap no base span; base spans are looked at by stretches that reach to the added one."""
+
+    def keep(bounds: Column) -> Column:
+        over = lambda x, y: (x["start"] < y["end"]) & (y["start"] < x["end"])
+        return F.filter(added, lambda x: ~F.exists(bounds, lambda b: over(x, b) & F.exists(b["spans"], lambda y: over(x, y))))
+
+    bounds = F.transform(
+        _stretches(F.sort_array(base)),
+        lambda p: F.struct(F.get(p, F.lit(0))["start"].alias("start"), F.array_max(F.transform(p, lambda y: y["end"])).alias("end"), p.alias("spans")),
+    )
+    return F.when(F.size(added) > 0, let(bounds, keep)).otherwise(added)
 
 
 def _yes(condition: Column) -> Column:
@@ -154,6 +184,7 @@ def spans(text: Column) -> dict[str, Column]:
         "iban": _located(text, "iban", IBAN, digit, lambda m, b: _yes(n(F.replace(m, F.lit(" "), F.lit(""))).between(15, 34) & _mod97(m))),
         "local_phone": _located(text, "local_phone", LOCAL_PHONE, digit, lambda m, b: near(b, PHONE_WORDS, 0.3), context=True),
         "ssn": _located(text, "ssn", SSN, digit, lambda m, b: near(b, SSN_WORDS, 0.3), context=True),
+        "secret": _located(text, "secret", SECRET, digit & F.rlike(text, F.lit(SECRET_WORDS)), lambda m, b: near(b, SECRET_WORDS, 0.3), context=True),
     }
 
 
@@ -177,7 +208,7 @@ def find(docs: DataFrame) -> DataFrame:
     found = base.select("doc_id", *[c.alias(f"_{k}") for k, c in kinds.items()])
     found = found.withColumn("_base", F.concat(*[F.col(f"_{k}") for k in BASE]))
     added = F.concat(*[F.col(f"_{k}") for k in KINDS[4:]])
-    free = F.filter(added, lambda x: ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    free = _free(added, F.col("_base"))
     return found.select(
         "doc_id",
         *[F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in BASE],

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import pathlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -259,6 +260,18 @@ def test_context_words_around_spans_and_ibans_before_words(spark):
     }
 
 
+def test_secrets_need_context_and_very_many_spans_take_linear_time(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    rows = [(1, f'token = "{key}" x'), (2, f"commit {key}"), (3, f"API_KEY: {key.upper()}"), (4, "password abcdefghijklmnopqrstuvwxyz"), (5, "a@b.co tel 020 7946 0958\n" * 40_000)]
+    began = time.time()
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.time() - began < 120
+    assert [got[i].spans for i in (1, 2, 3, 4)] == ["secret:9:49", "", "secret:9:49", ""]
+    line = len("a@b.co tel 020 7946 0958\n")
+    want = ",".join(f"email:{line * i}:{line * i + 6},local_phone:{line * i + 11}:{line * i + 24}" for i in range(40_000))
+    assert got[5].n_email == 40_000 and got[5].spans == want
+
+
 def test_line_groups(spark):
     base = "the quick brown fox jumps over the lazy dog and runs far away into the deep dark forest where nobody " * 4
     rows = [(1, base + "1\nshort\n" + base + "2"), (2, "An intro line of five words\n" + base.upper() + "3\nshort"), (3, "an INTRO line of five, words\nother words stand in this line")]
