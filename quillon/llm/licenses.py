@@ -156,11 +156,14 @@ def canonical_text(text: str) -> str:
     return t.strip()
 
 
-def known_digests(spark: SparkSession) -> DataFrame:
-    """(digest, license): a row for each known text; a fixed and small number."""
+def known_rows() -> list[tuple[str, str]]:
+    """(digest, license) for each known text; a fixed and small number."""
     rows = {(hashlib.sha256(canonical_text(t).encode()).hexdigest(), name) for name, texts in KNOWN.items() for t in texts}
-    rows |= {(digest, name) for name, digests in FULL_TEXTS.items() for digest in digests}
-    return spark.createDataFrame(sorted(rows), "digest string, license string")
+    return sorted(rows | {(digest, name) for name, digests in FULL_TEXTS.items() for digest in digests})
+
+
+def known_digests(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(known_rows(), "digest string, license string")
 
 
 def scan(docs: DataFrame) -> DataFrame:
