@@ -305,3 +305,19 @@ def test_query_groups_short_lines_and_scripts_without_spaces(spark, tmp_path):
 def test_queries_are_registered(spark):
     numbers = {int(re.match(r"op(\d+)_", k)[1]) for k in registry.queries()}
     assert numbers == set(range(1, 11))
+
+
+def test_near_duplicates_of_a_bucket_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "PART", 7)
+    monkeypatch.setattr(near_dup, "MEMBERS", 5)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(k, " ".join(f"z{k}" if (i * 7 + k) % 97 < k % 4 else w for i, w in enumerate(base))) for k in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: _shingles(t, 3) for i, t in rows}
+    label = {i: i for i in sets}
+    for _ in range(len(sets)):
+        new = {i: min(label[j] for j in sets if len(sets[i] & sets[j]) * 100 >= 85 * len(sets[i] | sets[j])) for i in sets}
+        if new == label:
+            break
+        label = new
+    assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs, 3, 85).collect()} == label and len(set(label.values())) < 80
