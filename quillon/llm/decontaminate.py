@@ -6,8 +6,9 @@ shingles with the smallest hashes. k belongs to the partition: it is one more
 than the shingles that the largest item of the partition may lack at the wanted
 containment. So at least one signature member of every item that is contained
 enough stands in the document, however long the document is, and the search
-misses nothing; the documents need no signature of their own, for which a short
-item would be too small a part. Candidates are then held against all of the
+misses nothing. The documents have no signature of their own: a short item would
+be too small a part of it. What this comes to is an exact prefix filter in the
+order of the hashes. Candidates are then held against all of the
 item's shingles, as text.
 """
 
@@ -75,28 +76,29 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, word
     too large to broadcast, the planner shuffles (doc_id, hash) instead.
     """
     docs = docs.select("doc_id", "text").where("doc_id is not null")
+    id_type = items.schema["item_id"].dataType
     items = items.select("item_id", _word_array(F.col("text")).alias("w")).where("item_id is not null and size(w) > 0")
     n = F.least(F.size("w"), F.lit(words))
     starts = F.sequence(F.lit(0), F.size("w") - n)
     pieces = items.select("item_id", n.alias("len"), F.explode(F.transform(starts, lambda i: F.slice("w", i + 1, n))).alias("p"))
     pieces = pieces.select("item_id", "len", F.xxhash64(*[F.get("p", F.lit(k)) for k in range(words)]).alias("_padded"), F.array_join("p", " ").alias("shingle"), "p")
-    pieces = materialise(pieces.dropDuplicates(["item_id", "shingle"]), 1)
+    pieces = materialise(pieces.dropDuplicates(["item_id", "shingle"]))
     lengths = sorted(r[0] for r in pieces.select("len").distinct().collect())  # `words` values at most
     if not lengths:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_shared long, n_item long, containment double").select(
-            F.col("doc_id").cast(docs.schema["doc_id"].dataType), "item_id", "n_shared", "n_item", "containment"
+            F.col("doc_id").cast(docs.schema["doc_id"].dataType), F.col("item_id").cast(id_type), "n_shared", "n_item", "containment"
         )
 
     hashed = pieces.select("item_id", "shingle", F.coalesce(*[F.when(F.col("len") == k, F.xxhash64(*[F.get("p", F.lit(j)) for j in range(k)])) for k in lengths]).alias("h"))
     per_item = hashed.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_item"), F.sort_array(F.collect_set("h")).alias("hs"))
     largest = F.pow(F.lit(2), F.floor(F.log2("n_item")) + 1) - 1
     k = F.floor(largest * (100 - percent) / 100).cast("int") + 1
-    signatures = materialise(per_item.select("item_id", F.explode(F.slice("hs", F.lit(1), k)).alias("h")), 1)
+    signatures = materialise(per_item.select("item_id", F.explode(F.slice("hs", F.lit(1), k)).alias("h")))
 
     found = _explode_hashes(docs, "doc_id", lengths).join(signatures, "h").select("doc_id", "item_id").distinct()
     candidates = materialise(found)
 
-    index = materialise(pieces.join(per_item.select("item_id", "n_item"), "item_id").select("item_id", "n_item", "shingle"), 1)
+    index = materialise(pieces.join(per_item.select("item_id", "n_item"), "item_id").select("item_id", "n_item", "shingle"))
     near = docs.join(candidates.select("doc_id").distinct(), "doc_id", "left_semi")
     shared = _explode_texts(near, "doc_id", lengths).join(index, "shingle").join(candidates, ["doc_id", "item_id"], "left_semi")
     counted = shared.groupBy("doc_id", "item_id", "n_item").agg(F.count_distinct("shingle").alias("n_shared"))

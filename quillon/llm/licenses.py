@@ -167,7 +167,7 @@ def known_digests(spark: SparkSession) -> DataFrame:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """For each doc_id: the licence that its whole text is, and those that its lines are.
+    """For each row of docs: the licence that its whole text is, and those that its lines are.
 
     docs needs doc_id and text; other columns are ignored. Returns doc_id,
     digest (of the whole text's canonical form; null where the text has none of
@@ -175,8 +175,8 @@ def scan(docs: DataFrame) -> DataFrame:
     (names of the known one-line texts among its lines, sorted, joined by
     commas; empty if none) and n_license_lines.
 
-    Null and empty texts have no digest and no licence. Rows with one doc_id are
-    united: the greatest digest and licence, all lines. An empty table gives no
+    Null and empty texts have no digest and no licence. Every row gives a row of
+    its own, those that repeat a doc_id or have none too. An empty table gives no
     rows.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -186,15 +186,15 @@ def scan(docs: DataFrame) -> DataFrame:
     lines = F.transform(own_lines, lambda x: let(x, lambda y: F.sha2(canonical(y), 256)))
     whole = F.filter(F.array(F.struct(F.col("digest").alias("h"), F.lit(True).alias("whole"))), lambda x: x["h"].isNotNull())
     parts = F.coalesce(F.transform(lines, lambda h: F.struct(h.alias("h"), F.lit(False).alias("whole"))), F.array().cast("array<struct<h:string,whole:boolean>>"))
-    units = materialise(hashed.select("doc_id", "digest", F.concat(whole, parts).alias("units")))
+    units = materialise(hashed.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "digest", F.concat(whole, parts).alias("units")))
 
     known = known_digests(docs.sparkSession).withColumnRenamed("digest", "h")
-    hits = units.select("doc_id", F.explode("units").alias("u")).select("doc_id", "u.h", "u.whole").join(F.broadcast(known), "h").select("doc_id", "license", "whole")
-    rows = units.select("doc_id", "digest", F.lit(None).cast("string").alias("license"), F.lit(None).cast("boolean").alias("whole"))
-    both = rows.unionByName(hits.select("doc_id", F.lit(None).cast("string").alias("digest"), "license", "whole"))
-    return both.groupBy("doc_id").agg(
+    hits = units.select("_row", "doc_id", F.explode("units").alias("u")).select("_row", "doc_id", "u.h", "u.whole").join(F.broadcast(known), "h").select("_row", "doc_id", "license", "whole")
+    rows = units.select("_row", "doc_id", "digest", F.lit(None).cast("string").alias("license"), F.lit(None).cast("boolean").alias("whole"))
+    both = rows.unionByName(hits.select("_row", "doc_id", F.lit(None).cast("string").alias("digest"), "license", "whole"))
+    return both.groupBy("_row", "doc_id").agg(
         F.max("digest").alias("digest"),
         F.max(F.when(F.col("whole"), F.col("license"))).alias("license"),
         F.array_join(F.sort_array(F.collect_set(F.when(~F.col("whole"), F.col("license")))), ",").alias("line_licenses"),
         F.count(F.when(~F.col("whole"), F.lit(1))).alias("n_license_lines"),
-    )
+    ).drop("_row")

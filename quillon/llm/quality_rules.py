@@ -110,7 +110,7 @@ def fit_em(patterns: Mapping[tuple[int, ...], int], rounds: int = 60) -> tuple[f
     prior, table = 0.8, [[[1 / 3] * 3 for _ in range(2)] for _ in range(rules)]
     for _ in range(rounds if patterns else 0):
         mass = [sum(c * (1 - post[p]) for p, c in patterns.items()), sum(c * post[p] for p, c in patterns.items())]
-        prior = min(0.98, max(0.5, (mass[1] + 2) / (mass[0] + mass[1] + 3)))
+        prior = min(0.98, max(0.02, (mass[1] + 2) / (mass[0] + mass[1] + 3)))
         for r in range(rules):
             for y in (BAD, GOOD):
                 seen = [1.0, 1.0, 1.0]
@@ -137,7 +137,7 @@ def label(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     stats = materialise(statistics(docs))
     rules = votes()
     histogram = stats.select(*[c.alias(f"v{i}") for i, c in enumerate(rules.values())]).groupBy(*[f"v{i}" for i in range(len(rules))]).count()
-    patterns = {tuple(r[:-1]): r[-1] for r in histogram.collect()}  # 3 ** len(rules) rows at most
+    patterns = {tuple(r[:-1]): r[-1] for r in sorted(histogram.collect())}  # 3 ** len(rules) rows at most
     prior, table = fit_em(patterns)
     odds = F.lit(math.log(prior / (1 - prior)))
     for column, t in zip(rules.values(), table, strict=False):

@@ -53,7 +53,7 @@ def test_odd_rows_and_empty_tables(spark, odd, labels, items, name, empty):
     got = _operators(labels, items)[name](docs).collect()
     if empty:
         assert got == []
-    elif name in ("mix", "lines", "near", "score", "label", "tokens", "pii"):
+    elif name in ("mix", "lines", "near", "score", "label", "tokens", "pii", "licenses"):
         assert len(got) == len(ODD)
     if name in ("mixed", "clean", "first", "good"):
         assert _operators(labels, items)[name](docs).columns == odd.columns
@@ -165,6 +165,13 @@ def test_decontamination_against_brute_force(spark):
     assert got == want and {(5000, some.item_id), (5003, 900)} <= {g[:2] for g in got} and not {5002, 5004} & {g[0] for g in got}
 
 
+def test_an_empty_benchmark_finds_nothing(spark, items):
+    docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
+    none = items.limit(0).withColumn("item_id", F.col("item_id").cast("string"))
+    got = decontaminate.contaminated(docs, none)
+    assert got.collect() == [] and dict(got.dtypes)["item_id"] == "string" and decontaminate.clean_documents(docs, none).count() == 1
+
+
 def test_classifier_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_model.score(docs, labels).join(labels, "doc_id").where("held_out").collect()
