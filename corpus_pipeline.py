@@ -15,27 +15,48 @@ from quillon.session import materialise
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject.
+
+    Null and empty texts are scored by the statistics of the empty text; a null
+    doc_id is scored like others. Repeated rows get the same verdict. Without
+    labels of both kinds all documents have one score. An empty table gives none.
+    """
     return quality_model.good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more."""
+    """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more.
+
+    The smallest doc_id of a group stays, with all rows that repeat it. Documents
+    without words or without a doc_id are like no other and stay.
+    """
     return near_dup.first_of_each(docs, n=5, percent=80)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that don't contain a benchmark item's shingles to 80 % or more.
+
+    Null and empty texts contain nothing; rows that repeat a doc_id count as one
+    text; a null doc_id stays. An empty benchmark takes no document out.
+    """
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them, three times at most.
+
+    A null source is a source of its own. Documents without words are taken
+    nowhere; rows that repeat a doc_id, source and size are taken alike.
+    """
     return mixing.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the mix; what they hold of each document."""
+    """Token files of the mix; what they hold of each document.
+
+    A null or empty text is the end id alone; null doc_ids come first, and rows
+    that repeat a doc_id are written one after the other.
+    """
     return token_files.tokenise(docs)
 
 
