@@ -208,7 +208,7 @@ class Encoder:
 
 def _parts(docs: DataFrame) -> int:
     """As many as the session's shuffles have, or more where parts would be larger than PART_BYTES."""
-    estimate = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    estimate = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-estimate // PART_BYTES), 1 << 20))
 
 
