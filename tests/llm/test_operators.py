@@ -328,3 +328,35 @@ def test_near_duplicates_of_a_bucket_in_parts(spark, monkeypatch):
             break
         label = new
     assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs, 3, 85).collect()} == label and len(set(label.values())) < 80
+
+
+def test_fuzzy_lines_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rows = sorted((d.doc_id, k, line_dedup.normalise(x)) for d in docs.collect() for k, x in enumerate((d.text or "").split("\n")))
+    lines = sorted({x for *_, x in rows if x}, key=len)
+    root = {x: x for x in lines}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    pairs = []
+    for i, a in enumerate(lines):
+        for b in lines[i + 1 :]:
+            if len(b) * 9 > len(a) * 10:
+                break
+            # Letters that one line has and the other hasn't take an edit for every two of them at least.
+            far = sum((collections.Counter(a) - collections.Counter(b)).values())
+            if len(b) >= line_dedup.MIN_CHARS and far * 10 <= len(b) and line_dedup.edit_distance(a, b, len(b) // 10) * 10 <= len(b):
+                pairs.append((a, b))
+                root[find(a)] = find(b)
+    first = {}
+    for d, k, x in rows:
+        if x:
+            first.setdefault(find(x), (d, k))
+    gone = {(d, k) for d, k, x in rows if x and first[find(x)] != (d, k)}
+    found = {(r.doc_id, k) for r in line_dedup.repeated_lines(docs, min_words=1).collect() for k in r.lines}
+    assert len(pairs) > 20 and found <= gone and len(found) >= 0.97 * len(gone)
+    fuzzy = {(d, k) for d, k, x in rows if x and any(x in p for p in pairs)} & gone
+    assert len(fuzzy & found) >= 0.9 * len(fuzzy)
