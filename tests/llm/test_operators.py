@@ -360,3 +360,15 @@ def test_fuzzy_lines_against_brute_force(spark):
     assert len(pairs) > 20 and found <= gone and len(found) >= 0.97 * len(gone)
     fuzzy = {(d, k) for d, k, x in rows if x and any(x in p for p in pairs)} & gone
     assert len(fuzzy & found) >= 0.9 * len(fuzzy)
+
+
+def test_lines_of_a_hot_block_in_parts(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    base = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(14)]
+    rows = [(i, " ".join([*base[: 5 + i % 5], f"x{i}", *base[6 + i % 5 :]])) for i in range(40)] + [(50, "quite another line of words that is like none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(r.doc_id, tuple(r.lines)) for r in line_dedup.repeated_lines(docs).collect()}
+    monkeypatch.setattr(line_dedup, "SAMPLE", 1)
+    monkeypatch.setattr(line_dedup, "HOT", 3)
+    monkeypatch.setattr(line_dedup, "PART", 4)
+    assert {(r.doc_id, tuple(r.lines)) for r in line_dedup.repeated_lines(docs).collect()} == want and len(want) == 39
