@@ -121,14 +121,14 @@ def mix(
     placed = placed.withColumns({"shard": F.pmod(_hash(seed, "doc_id", "size"), "shards"), "words": F.col("size") * F.col("rows")})
 
     by_shard = placed.groupBy("idx", "shard").agg(F.sum("words").alias("shard_size"), F.first("quota").alias("source_quota"), F.first("block").alias("block"))
-    by_shard = sainte_lague(by_shard.repartition(1), ["idx"], "shard", "shard_size", "source_quota", "quota")
+    by_shard = sainte_lague(by_shard, ["idx"], "shard", "shard_size", "source_quota", "quota")
     given = F.least(F.col("quota") * F.col("block"), (F.col("shard_size") * cap).cast("long"))
     by_shard = by_shard.withColumn("given", given)
     size = F.greatest(F.col("shard_size"), F.lit(1))
     passes = F.floor(F.col("given") / size).cast("long")
     by_shard = by_shard.withColumns({"passes": passes, "rest": F.col("given") - passes * size})
     at = F.pmod(_hash(seed + 1, "idx", "shard"), F.ceil(size / F.col("block")).cast("long")) * F.col("block")
-    by_shard = materialise(by_shard.select("idx", "shard", "shard_size", "passes", "rest", at.alias("at")), 1)
+    by_shard = materialise(by_shard.select("idx", "shard", "shard_size", "passes", "rest", at.alias("at")))
 
     w = Window.partitionBy("idx", "shard").orderBy(_hash(seed + 2, "doc_id", "size"), "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     laid = placed.join(by_shard, ["idx", "shard"]).withColumn("_end", F.sum("words").over(w))
