@@ -251,7 +251,7 @@ def _measure(root: Node) -> tuple[Node, Node]:
     body = next((x for x in reversed(order) if x.name == "body"), root)
     for node in order:
         for part in node.parts:
-            if isinstance(part, Node) and not part.cut and _only_links(part):
+            if isinstance(part, Node) and not part.cut and _only_links(part) and part.chars <= 10 * (body.chars - part.chars):
                 part.cut = True
             elif isinstance(part, Node) and part.name in HEADINGS and part.name != "h1" and COMMENTS.fullmatch(" ".join(_text(part).split())):
                 rest = node.parts[node.parts.index(part) :]

@@ -69,6 +69,10 @@ def test_paragraphs_that_only_look_marked_stay():
     assert html_text.main_text("<p>a &am<b>p;</b> b &lt;c&gt;</p>") == "a &amp; b <c>"
 
 
+def test_a_page_of_links_alone_keeps_them():
+    assert html_text.main_text(f"<body><div>{LIST}</div></body>").count("Link number") == 20
+
+
 def test_hostile_nesting_takes_linear_time():
     began = time.time()
     for page in ("<b><table><td>" + "<i>" * 40_000 + "</b>" * 40_000, "<div>" * 40_000 + "</p>" * 40_000, "<li>" * 40_000 + "<td>" * 40_000, "<ul><li>" * 40_000, "<h3>Comments</h3>" * 40_000, "<h3>" + "<b>" * 40_000 + "Comments"):
