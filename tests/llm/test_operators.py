@@ -372,3 +372,15 @@ def test_lines_of_a_hot_block_in_parts(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "HOT", 3)
     monkeypatch.setattr(line_dedup, "PART", 4)
     assert {(r.doc_id, tuple(r.lines)) for r in line_dedup.repeated_lines(docs).collect()} == want and len(want) == 39
+
+
+def test_lines_with_many_edits_close_together_are_linked(spark):
+    """No eight characters agree over a stretch of eighty, in which each seventh is another."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(30):
+        line = "".join(chr(97 + x) for x in rng.integers(0, 26, 200))
+        other = "".join("0" if 40 <= i < 124 and i % 7 == 0 else c for i, c in enumerate(line))
+        rows += [(k, 2, 2 * k, line), (k, 2, 2 * k + 1, other)]
+    got = line_dedup._verified(spark.createDataFrame(rows, "slot long, side int, node long, text string").coalesce(1), 90)
+    assert {(r.a, r.b) for r in got.collect()} == {(2 * k, 2 * k + 1) for k in range(30)}

@@ -96,6 +96,28 @@ def test_edit_similarity(a, b):
     assert line_dedup.edit_similarity(a, b) == pytest.approx(1 - _levenshtein(a, b) / max(len(a), len(b)))
 
 
+def test_distances_of_many_pairs():
+    rng = random.Random(5)
+    letters = [chr(x) for x in (*range(97, 123), *range(0x4E00, 0x4E60), 0x1F600)]
+    lines, pairs, most = [], [], []
+    for k in range(400):
+        a = rng.choices(letters[: 26 if k % 2 else None], k=rng.choice((1, 5, 40, 64, 65, 150, 300)))
+        b = list(a)
+        for _ in range(rng.randint(0, len(a) // 6 + 1)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 1)] = rng.choices(letters, k=rng.randint(0, 1))
+        lines += ["".join(a), "".join(b)]
+        pairs.append((2 * k, 2 * k + 1) if k % 3 else (2 * k, rng.randrange(2 * k + 1)))
+        most.append(rng.choice((0, len(a) // 10, len(a) // 10, len(a))))
+    points = np.frombuffer("\n".join(lines).encode("utf-32-le"), np.uint32)
+    start, end = line_dedup._bounds(points)
+    (a, b), most = np.array(pairs).T, np.array(most)
+    got = line_dedup.edit_distances(points, (start[a], (end - start)[a]), (start[b], (end - start)[b]), most).tolist()
+    want = [line_dedup.edit_distance(lines[x], lines[y]) for x, y in pairs]
+    assert all(g == w if w <= m else g > m for g, w, m in zip(got, want, most.tolist(), strict=True))
+    assert sum(w <= m for w, m in zip(want, most.tolist(), strict=True)) > 100
+
+
 def test_estimates_are_near_the_similarity():
     rng = np.random.default_rng(1)
     for share in (0.2, 0.5, 0.85, 1.0):
