@@ -384,3 +384,19 @@ def test_lines_with_many_edits_close_together_are_linked(spark):
         rows += [(k, 2, 2 * k, line), (k, 2, 2 * k + 1, other)]
     got = line_dedup._verified(spark.createDataFrame(rows, "slot long, side int, node long, text string").coalesce(1), 90)
     assert {(r.a, r.b) for r in got.collect()} == {(2 * k, 2 * k + 1) for k in range(30)}
+
+
+def test_links_whose_registers_look_unlike_share_a_group(spark):
+    shared = [(r << 40) + (1 << 39) + r for r in range(368)]
+    own = [[(r << 40) + 1 for r in range(first, first + 32)] for first in (0, 32)]  # the least of their registers
+    sets = [np.array(shared + x, np.int64) for x in own]
+    assert len(shared) * 100 >= 85 * (len(shared) + 64)
+    rows = [(k, len(v), bytearray(near_dup.sketch(v).tobytes()), [1]) for k, v in enumerate(sets)]
+    # The third is not kept for comparing where it stands for the second, which resembles the fourth less.
+    base = np.arange(near_dup.REGISTERS, dtype=np.uint16)
+    for k, changed in enumerate((0, 7, 47)):
+        s = base.copy()
+        s[:changed] += 500
+        rows.append((k + 2, 252, bytearray(s.tobytes()), [2]))
+    stars = near_dup._stars(spark.createDataFrame(rows, "doc_id long, n_shingles long, sketch binary, bands array<long>"), 0.85)
+    assert {(r.leader, r.doc_id) for r in stars.collect()} == {(0, 0), (0, 1), (2, 2), (2, 3), (2, 4)}
