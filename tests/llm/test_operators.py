@@ -330,6 +330,17 @@ def test_near_duplicates_of_a_bucket_in_parts(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs, 3, 85).collect()} == label and len(set(label.values())) < 80
 
 
+def test_links_of_a_large_group_are_few(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "MEMBERS", 5)
+    counts, found = [], near_dup._links
+    monkeypatch.setattr(near_dup, "_links", lambda *given: (links := found(*given), counts.append(links.distinct().count()))[0])
+    # Every document lacks a stretch of the text: neighbours are linked, those far from each other aren't.
+    n = 120
+    rows = [(k, " ".join(f"z{k}" if k * 900 // n <= i < k * 900 // n + 70 else f"w{i}" for i in range(1000))) for k in range(n)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == n and counts[0] < 2 * n
+
+
 def test_fuzzy_lines_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     rows = sorted((d.doc_id, k, line_dedup.normalise(x)) for d in docs.collect() for k, x in enumerate((d.text or "").split("\n")))
