@@ -12,12 +12,13 @@ executors harmless, and any store that Spark reaches will do.
 
 from __future__ import annotations
 
-import re
+import itertools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,10 +27,14 @@ from quillon.session import scratch_dir
 # How many ids of how many bits fit into 60 bits, by selector.
 PACKING = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE = 15
-#: Texts of so many characters together are encoded at once.
+#: Texts of so many bytes together are encoded at once.
+TEXTS = 4_000_000
+#: Blocks of so many ids together are packed or decoded at once.
 CHUNK = 1_000_000
 #: Pieces of text whose ids a worker keeps at most.
 CACHE = 1_000_000
+#: Bytes of the longest piece that is kept.
+LONG = 64
 #: Bytes of input, as the planner estimates them, that a part holds about.
 PART_BYTES = 64 << 20
 
@@ -39,6 +44,17 @@ _LIMITS = np.array([1 << w for _, w in PACKING], np.uint64)
 _COUNTS = np.array([c for c, _ in PACKING] + [0] * (ESCAPE - len(PACKING)) + [1], np.int64)
 
 
+_WIDTHS = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.int8)
+
+
+def _widths(v: np.ndarray) -> np.ndarray:
+    """Of each id, the place in PACKING of the least width that it fits into."""
+    out = _WIDTHS[(v & np.uint64(0xFFFF)).astype(np.uint16)]
+    large = np.flatnonzero(v >> np.uint64(16))
+    out[large] = np.searchsorted(_LIMITS, v[large], side="right")
+    return out
+
+
 def _choices(narrow: np.ndarray) -> np.ndarray:
     """The best selector for a word that begins at each place: the first of PACKING whose count of next ids all fit."""
     most = {1: narrow}  # by power of two: the widest of so many ids from a place on
@@ -75,13 +91,13 @@ def encode_blocks(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
     sizes, stops = sizes[sizes > 0], ends[sizes > 0]
     shift = np.repeat(np.arange(len(sizes)) * room, sizes)  # from a place among the ids to one with room
     wide = np.zeros(n + len(sizes) * room, np.int8)
-    wide[np.arange(n) + shift] = np.searchsorted(_LIMITS, v, side="right")
+    wide[np.arange(n) + shift] = _widths(v)
     choice = _choices(wide)
-    step = _COUNTS[choice]
+    step = _COUNTS.astype(np.uint8)[choice]
     after = stops + np.arange(1, len(sizes) + 1) * room  # where the next block begins
     gap = (np.arange(room) - room + after[:, None]).ravel()
     step[gap] = np.repeat(after, room) - gap
-    starts, at, steps, total = [], 0, step.tolist(), len(step)
+    starts, at, steps, total = [], 0, step.tobytes(), len(step)
     add = starts.append
     while at < total:
         add(at)
@@ -160,14 +176,87 @@ def decode(data: bytes, n: int) -> np.ndarray:
 # A piece is a run that the vocabulary's own pattern always cuts at both ends: letters with the space before them where
 # only marks follow up to white space, those marks, any other run up to white space, or white space before such a run.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_MARKS = re.escape("!#$%&*+,-./:;=?@^_|~()")
-PIECE = re.compile(rf" ?[{_LETTERS}]+(?=[{_MARKS}]*(?:[ \n]|$))|[{_MARKS}]+(?=[ \n]|$)| ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]+")
+_MARKS = "!#$%&*+,-./:;=?@^_|~()"
 #: White space other than space and line feed runs over pieces; such texts are encoded whole, as are those with a special token.
 WHOLE = (*(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"), "<|endoftext|>")
 
+_SPACE, _LETTER, _MARK, _OTHER = range(4)
+#: Kinds of bytes. The first byte of a character of two is here for most of those that 0xC3 begins, which are letters but for × and ÷.
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[np.frombuffer(b" \n", np.uint8)] = _SPACE
+_KINDS[np.frombuffer(_MARKS.encode(), np.uint8)] = _MARK
+_KINDS[[*range(65, 91), *range(97, 123), 0xC3]] = _LETTER
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where in the bytes of texts, of which each begins and ends at offsets, a piece begins."""
+    if not len(data):
+        return np.zeros(0, np.int64)
+    kind = _KINDS[data]
+    lead = np.flatnonzero(data == 0xC3)
+    sign = (data[lead + 1] & 0xDF) == 0x97
+    kind[lead + 1] = _LETTER
+    kind[lead[sign]] = kind[lead[sign] + 1] = _OTHER
+    begins = np.zeros(len(data) + 1, bool)
+    begins[offsets] = True
+    # Runs of one kind; a word is one or more runs between white space or ends of texts.
+    run = np.flatnonzero(np.concatenate([[True], (kind[1:] != kind[:-1]) | begins[1:-1]]))
+    of, first = kind[run], begins[run]
+    space, end = of == _SPACE, np.append(run[1:], len(data))
+    last = np.append(first[1:] | space[1:], True)  # white space or the end of the text comes next
+    opens = first | np.append(True, space[:-1])
+    split = np.zeros(len(run), bool)
+    split[1:] = (of[1:] == _MARK) & last[1:] & ~first[1:] & (of[:-1] == _LETTER) & opens[:-1]
+    # The last of the white space before a word is a piece, or the beginning of one if it is a space.
+    before = np.flatnonzero(space & ~np.append(first[1:], True))
+    feeds = before[data[end[before] - 1] != ord(" ")]
+    begins[run[space]] = True
+    begins[end[before] - 1] = True
+    begins[end[feeds]] = True
+    begins[run[split]] = True
+    begins[-1] = False
+    return np.flatnonzero(begins)
+
+
+class _Known:
+    """A tokenizer and the ids of pieces that it has had: number n of them has sizes[n] ids from starts[n] on."""
 
-#: By vocabulary file, a worker's tokenizer and the ids of pieces; a worker that is used again finds them warm.
-_LOADED: dict[str, tuple[object, dict[str, bytes]]] = {}
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.number: dict[bytes, int] = {}
+        self.ids, self.starts, self.sizes, self.n_ids = np.zeros(1 << 16, np.uint32), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 0
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else None
+
+    def whole(self, texts: list[bytes]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def lines(self, pieces: list[bytes]) -> list[np.ndarray] | None:
+        """Of pieces without line feeds and not of spaces alone, all in one call: a feed between two is cut and encoded by itself."""
+        ids = self.whole([b"\n".join(pieces)])[0]
+        cut = np.flatnonzero(ids == self.feed)
+        if len(cut) != len(pieces) - 1:
+            return None
+        return [ids[a:b] for a, b in zip([0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)], strict=True)]
+
+    def add(self, coded: list[np.ndarray]) -> None:
+        """Ids of the pieces from number len(self.number) on."""
+        flat, n, size = np.concatenate(coded), len(self.number), np.fromiter(map(len, coded), np.int64, len(coded))
+        if self.n_ids + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(flat)), np.uint32)])
+        if n + len(size) > len(self.starts):
+            more = np.zeros(max(len(self.starts), len(size)), np.int64)
+            self.starts, self.sizes = np.concatenate([self.starts, more]), np.concatenate([self.sizes, more])
+        self.ids[self.n_ids : self.n_ids + len(flat)] = flat
+        self.starts[n : n + len(size)] = self.n_ids + np.cumsum(size) - size
+        self.sizes[n : n + len(size)] = size
+        self.n_ids += len(flat)
+
+
+#: By vocabulary file; a worker that is used again finds pieces known.
+_LOADED: dict[str, _Known] = {}
 
 
 class Encoder:
@@ -175,35 +264,73 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         if path not in _LOADED:
-            from tokenizers import Tokenizer
+            _LOADED[path] = _Known(path)
+        self.known = _LOADED[path]
+        self.tokenizer = self.known.tokenizer
+
+    def _numbers(self, pieces: list[bytes], odd: set[bytes]) -> tuple[np.ndarray, int]:
+        """Numbers of different pieces, odd ones being whole texts, and how many numbers stay: the caller gives up the later ones."""
+        known = self.known
+        numbers = np.fromiter(map(known.number.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(numbers < 0)
+        if not len(new):
+            return numbers, len(known.number)
+        alone = [p in odd or b"\n" in p or not p.strip(b" ") or len(p) > LONG for p in map(pieces.__getitem__, new.tolist())]
+        alone = np.array(alone) | (known.feed is None)
+        plain, rest = new[~alone], new[alone]
+        coded = known.lines([pieces[i] for i in plain.tolist()]) if len(plain) else []
+        if coded is None:
+            plain, rest, coded = new[:0], new, []
+        if len(rest):
+            coded += known.whole([pieces[i] for i in rest.tolist()])
+        known.add(coded)
+        stay, n = len(known.number), len(known.number)
+        numbers[plain] = np.arange(n, n + len(plain))
+        numbers[rest] = np.arange(n + len(plain), n + len(coded))
+        if n + len(plain) <= CACHE:  # else the newest go, most of which are rare
+            known.number.update(zip([pieces[i] for i in plain.tolist()], range(n, n + len(plain)), strict=True))
+            stay += len(plain)
+        return numbers, stay
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where among them each text's ids end."""
+        texts = texts.cast(pa.string()).fill_null("")
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        base = int(offsets[0])
+        raw = (texts.buffers()[2] or pa.py_buffer(b""))[base : int(offsets[-1])]
+        offsets -= base
+        start, text = piece_starts(np.frombuffer(raw, np.uint8), offsets), str(raw, "utf-8")
+        odd: set[bytes] = set()
+        if any(x in text for x in WHOLE):
+            whole = np.array([any(x in t for x in WHOLE) for t in texts.to_pylist()])
+            of = np.searchsorted(offsets, start, side="right") - 1
+            start = start[~whole[of] | (start == offsets[of])]
+            odd = {t.encode() for t in texts.filter(pa.array(whole)).to_pylist()}
+        if not len(start):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        bounds = np.append(start, len(raw)).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(bounds), raw]).dictionary_encode()
+        known = self.known
+        different = coded.dictionary
+        bounds = np.frombuffer(different.buffers()[1], np.int32)[: len(different) + 1].tolist()
+        flat = different.buffers()[2].to_pybytes()
+        numbers, stay = self._numbers([flat[a:b] for a, b in itertools.pairwise(bounds)], odd)
+        number = numbers[coded.indices.to_numpy()]
+        size = known.sizes[number]
+        stop = np.cumsum(size)
+        ids = known.ids[np.repeat(known.starts[number] - stop + size, size) + np.arange(stop[-1])]
+        known.n_ids = int(known.starts[stay - 1] + known.sizes[stay - 1]) if stay else 0
+        return ids, np.append(0, stop)[np.searchsorted(start, offsets[1:])]
 
-            _LOADED[path] = (Tokenizer.from_file(path), {})
-        self.tokenizer, self.known = _LOADED[path]
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        ids, ends = self.encode(pa.array(texts, pa.string()))
+        data, ends = ids.astype("<u4").tobytes(), (ends * 4).tolist()
+        return [data[x:y] for x, y in zip([0, *ends[:-1]], ends, strict=True)]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _piece_ids(self, pieces: list[str]) -> list[bytes]:
-        """All pieces in one call: each is cut and encoded by itself."""
-        e = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        data, of = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids, np.int64)
-        cut = np.searchsorted(of, np.arange(len(pieces) + 1)) * 4
-        return [data[x:y] for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        whole = [i for i, t in enumerate(texts) if any(x in t for x in WHOLE)]
-        pieces = [[] if i in set(whole) else PIECE.findall(t) for i, t in enumerate(texts)] if whole else [PIECE.findall(t) for t in texts]
-        new = list(set().union(*pieces).difference(self.known))
-        fresh = dict(zip(new, self._piece_ids(new), strict=True)) if new else {}
-        self.known.update(fresh)
-        look = self.known.__getitem__
-        out = [b"".join(map(look, p)) for p in pieces]
-        if len(self.known) > CACHE:  # the newest go, most of which are rare
-            for p in fresh:
-                del self.known[p]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        return out
+def _stop(ends: np.ndarray, at: int, most: int) -> int:
+    """The end of the rows from at on that have most together, or one row; ends has what comes before each row, and the sum."""
+    return max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
 
 
 def _parts(docs: DataFrame) -> int:
@@ -230,27 +357,29 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
-        mark, first_id, first_word = np.array([end_id], "<u4").tobytes(), 0, 0
+        first_id = first_word = 0
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            length = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64))
             at = 0
-            while at < len(texts):
-                stop, chars = at, 0
-                while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= CHUNK):
-                    chars += len(texts[stop])
-                    stop += 1
-                coded = [b + mark for b in encoder(texts[at:stop])]
-                counts = np.fromiter((len(b) // 4 for b in coded), np.int64, len(coded))
-                ids = np.cumsum(counts)
-                blocks = encode_blocks(np.frombuffer(b"".join(coded), "<u4"), ids)
-                sizes = np.fromiter((len(b) // 8 for b in blocks), np.int64, len(blocks))
-                words = np.cumsum(sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(2)[at:stop].cast(pa.int32()), batch.column(0)[at:stop], pa.array(counts), pa.array(first_id + ids - counts), pa.array(first_word + words - sizes), pa.array(blocks, pa.binary())],
-                    names=["part", "doc_id", "n_tokens", "first_id", "first_word", "block"],
-                )
-                first_id += int(ids[-1])
-                first_word += int(words[-1])
+            while at < batch.num_rows:
+                stop = _stop(length, at, TEXTS)
+                ids, ends = encoder.encode(batch.column(1)[at:stop])
+                ids, ends = np.insert(ids, ends, end_id), np.append(0, ends + np.arange(1, stop - at + 1))
+                done = 0
+                while done < stop - at:
+                    to = _stop(ends, done, CHUNK)
+                    mine = slice(at + done, at + to)
+                    counts = np.diff(ends[done : to + 1])
+                    blocks = encode_blocks(ids[ends[done] : ends[to]], np.cumsum(counts))
+                    sizes = np.fromiter((len(b) // 8 for b in blocks), np.int64, len(blocks))
+                    before, words = ends[done:to] - ends[done], np.cumsum(sizes)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(2)[mine].cast(pa.int32()), batch.column(0)[mine], pa.array(counts), pa.array(first_id + before), pa.array(first_word + words - sizes), pa.array(blocks, pa.binary())],
+                        names=["part", "doc_id", "n_tokens", "first_id", "first_word", "block"],
+                    )
+                    first_id += int(counts.sum())
+                    first_word += int(words[-1])
+                    done = to
                 at = stop
 
     ordered.mapInArrow(run, _FILE.format(id_type)).write.option("compression", "zstd").parquet(path)

@@ -5,6 +5,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -37,6 +38,39 @@ def test_pieces_give_what_the_library_gives_for_whole_texts():
     assert encoder(texts) == want
 
 
+def test_pieces_of_bytes_are_those_of_the_expression():
+    letters, marks = "A-Za-zÀ-ÖØ-öø-ÿ", re.escape("!#$%&*+,-./:;=?@^_|~()")
+    piece = re.compile(rf" ?[{letters}]+(?=[{marks}]*(?:[ \n]|$))|[{marks}]+(?=[ \n]|$)| ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]+")
+    rng = random.Random(4)
+    texts = ["".join(rng.choices(" \n ab.,'é×÷ÿ1(日ė", k=rng.randint(0, 12))) for _ in range(5000)]
+    data, offsets = "".join(texts).encode(), np.cumsum([0, *(len(t.encode()) for t in texts)])
+    start = token_files.piece_starts(np.frombuffer(data, np.uint8), offsets)
+    got = [data[a:b].decode() for a, b in zip(start, [*start[1:], len(data)], strict=True)]
+    assert got == [p for t in texts for p in piece.findall(t)]
+
+
+def test_each_word_is_encoded_once_and_words_of_a_chunk_in_one_call():
+    P = pytest.importorskip("public_tokenizers")
+    library = token_files.Encoder(P.path("byte_bpe_50k.json")).tokenizer
+    encoder, calls = token_files.Encoder(P.path("byte_bpe_50k.json")), []
+    encoder.known = token_files._Known(P.path("byte_bpe_50k.json"))
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    encoder.known.tokenizer = Counting()
+    texts = [f"word{i % 7} sesquipedalian, of {i % 5}." for i in range(100)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for part in (slice(0, 50), slice(50, 100)):
+        ids, ends = encoder.encode(pa.array([None, *texts, ""])[1:-1][part])
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == want[part]
+    assert len(calls) == 1 and len(calls[0]) == 1 and calls[0][0].count("sesqui") == 1
+    ids, ends = encoder.encode(pa.array([None, "", "a", None]))
+    assert ends.tolist() == [0, 0, 1, 1] and len(ids) == 1
+
+
 def test_main_text():
     page = """<html><head><title>T</title><script>var a="</p>";</script></head><body class="home"><header><h1>Site</h1></header><div id="cookie-notice">We use cookies.</div>
     <nav><ul><li><a href=x>Home</a></ul></nav><div><div class="content"><h2>Title &amp; more</h2><p>First <b>para</b> with <a href="u">a link</a> and&nbsp;enough   text
