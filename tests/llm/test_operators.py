@@ -397,6 +397,15 @@ def test_lines_with_many_edits_close_together_are_linked(spark):
     assert {(r.a, r.b) for r in got.collect()} == {(2 * k, 2 * k + 1) for k in range(30)}
 
 
+def test_lines_that_links_hold_together_are_tied_to_the_first(spark):
+    """Each line links with the next alone; ways between tied lines are one link long, so that components take few rounds."""
+    letters = "".join(chr(97 + x) for x in np.random.default_rng(12).integers(0, 26, 200))
+    lines = ["".join("0" if i < 15 * k else c for i, c in enumerate(letters)) for k in range(5)]
+    rows = [(1, 2, k, t) for k, t in enumerate(lines)]
+    got = line_dedup._verified(spark.createDataFrame(rows, "slot long, side int, node long, text string").coalesce(1), 90)
+    assert sorted((r.a, r.b) for r in got.collect()) == [(0, k) for k in range(1, 5)]
+
+
 def test_links_whose_registers_look_unlike_share_a_group(spark):
     shared = [(r << 40) + (1 << 39) + r for r in range(368)]
     own = [[(r << 40) + 1 for r in range(first, first + 32)] for first in (0, 32)]  # the least of their registers
