@@ -330,6 +330,20 @@ def test_near_duplicates_of_a_bucket_in_parts(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs, 3, 85).collect()} == label and len(set(label.values())) < 80
 
 
+def test_a_link_across_parts_of_a_bucket_where_stand_ins_have_none(spark, monkeypatch):
+    """The first stands for the second in one part, the third for the fourth in the other; only the second and the fourth link the two parts."""
+    monkeypatch.setattr(near_dup, "PART", 2)
+    base = {i: f"w{i}" for i in range(300)}
+    unlike = lambda tag, places: {i: f"{tag}{i}" for i in places}
+    y = base | unlike("y", range(24))
+    texts = [base | unlike("n", (144, 179, 76, 226)), base, y | unlike("m", (269, 103, 70, 58)), y]
+    sets = [set(t.values()) for t in texts]
+    linked = {(i, j) for i in range(4) for j in range(i) if len(sets[i] & sets[j]) * 100 >= 85 * len(sets[i] | sets[j])}
+    assert linked == {(1, 0), (3, 2), (3, 1)}
+    docs = spark.createDataFrame([(i, " ".join(t.values())) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs, 1, 85).collect()} == dict.fromkeys(range(4), 0)
+
+
 def test_links_of_a_large_group_are_few(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "MEMBERS", 5)
     counts, found = [], near_dup._links
